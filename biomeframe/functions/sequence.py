@@ -40,6 +40,11 @@ def kmer_code(kmer: Column | str) -> Column:
     return F.conv(F.translate(_col(kmer), "ACGT", "0123"), 4, 10).cast("long")
 
 
+def kmer_text(code: Column | str, k: int) -> Column:
+    """The k-mer behind a packed form."""
+    return F.translate(F.lpad(F.conv(_col(code).cast("string"), 10, 4), k, "0"), "0123", "ACGT")
+
+
 def canonical(kmer: Column | str) -> Column:
     """The smaller of a k-mer and its reverse complement."""
     return F.least(_col(kmer), reverse_complement(kmer))
