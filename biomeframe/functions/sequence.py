@@ -35,14 +35,22 @@ def reverse_complement(seq: Column | str) -> Column:
     return F.reverse(F.translate(F.upper(_col(seq)), IUPAC_BASES, IUPAC_COMPLEMENTS))
 
 
-def kmer_code(kmer: Column | str) -> Column:
-    """Exact packed form of an upper-case A/C/G/T k-mer with k <= 31."""
-    return F.conv(F.translate(_col(kmer), "ACGT", "0123"), 4, 10).cast("long")
+def kmer_code(kmer: Column | str, k: int) -> Column:
+    """Exact packed form (long) of an upper-case A/C/G/T k-mer with k <= 31."""
+    return _pack(F.translate(_col(kmer), "ACGT", "0123"), k)
+
+
+def _pack(digits: Column, k: int) -> Column:
+    # Up to 18 digits can be read as a decimal number, which is much cheaper.
+    return digits.cast("long") if k <= 18 else F.conv(digits, 4, 10).cast("long")
 
 
 def kmer_text(code: Column | str, k: int) -> Column:
     """The k-mer behind a packed form."""
-    return F.translate(F.lpad(F.conv(_col(code).cast("string"), 10, 4), k, "0"), "0123", "ACGT")
+    digits = _col(code).cast("string")
+    if k > 18:
+        digits = F.conv(digits, 10, 4)
+    return F.translate(F.lpad(digits, k, "0"), "0123", "ACGT")
 
 
 def canonical(kmer: Column | str) -> Column:
@@ -51,15 +59,17 @@ def canonical(kmer: Column | str) -> Column:
 
 
 def low_complexity(kmer: Column | str, k: int) -> Column:
-    """True if one or two bases make up all but an eighth of the k-mer.
+    """True if two bases make up all but an eighth of the k-mer.
 
     Plays the part of the soft masking that search tools apply to seeds. It
     looks at the k-mer alone, so the same seed is masked in every data set.
     """
     s = _col(kmer)
-    counts = [F.length(s) - F.length(F.translate(s, b, "")) for b in "ACGT"]
-    pairs = [counts[i] + counts[j] for i in range(4) for j in range(i + 1, 4)]
-    return F.greatest(*pairs) >= k - k // 8
+    without = F.transform(
+        F.array(*[F.lit(b) for b in "ACGT"]), lambda b: F.length(F.replace(s, b, F.lit("")))
+    )
+    two_most = F.aggregate(F.slice(F.sort_array(without), 1, 2), F.lit(0), lambda a, x: a + x)
+    return two_most <= k + k // 8
 
 
 def explode_kmers(
@@ -69,26 +79,41 @@ def explode_kmers(
     keep: tuple[str, ...] = ("id", "ord"),
     strands: bool = False,
     acgt_only: bool = True,
-    step: int = 1,
+    packed: bool = False,
 ) -> DataFrame:
     """One row per k-mer: the kept columns, 1-based ``pos`` and ``kmer``.
 
-    ``strands=True`` turns each k-mer into its canonical form. The sequence is
-    cut as bytes, which costs O(k) per k-mer; cutting a string costs O(pos).
+    ``strands=True`` gives the canonical form, ``packed=True`` longs. Case,
+    complement and digits are worked out once per sequence; a k-mer is then a
+    cut of bytes, O(k), where cutting a string would cost O(pos).
     """
-    n = F.length("_bin") - (k - 1)
-    pieces = (
-        df.select(*keep, F.upper(seq).cast("binary").alias("_bin"))
-        .select(
-            *keep,
-            "_bin",
-            F.explode(F.when(n >= 1, F.sequence(F.lit(1), n, F.lit(step)))).alias("pos"),
+    up = F.upper(seq)
+    bases = "ACGT0123"
+    forward = F.translate(up, bases, "0123NNNN") if packed else up
+    columns = [forward.cast("binary").alias("_f")]
+    if strands:
+        back = F.reverse(
+            F.translate(up, bases, "3210NNNN")
+            if packed
+            else F.translate(up, IUPAC_BASES, IUPAC_COMPLEMENTS)
         )
-        .select(*keep, "pos", F.col("_bin").substr(F.col("pos"), F.lit(k)).cast("string").alias("kmer"))
+        columns.append(back.cast("binary").alias("_r"))
+    if acgt_only:
+        columns.append((F.translate(up, "ACGT", "") == "").alias("_pure"))
+    n = F.length("_f") - (k - 1)
+    names = ["_f", "_r"] if strands else ["_f"]
+    flag = ["_pure"] if acgt_only else []
+    rows = df.select(*keep, *columns).select(
+        *keep, *names, *flag, F.explode(F.when(n >= 1, F.sequence(F.lit(1), n))).alias("pos")
     )
+    width = F.lit(k)
+    kmer = F.col("_f").substr(F.col("pos"), width).cast("string")
     if acgt_only:
-        pieces = pieces.filter(F.translate("kmer", "ACGT", "") == "")
-    return pieces.withColumn("kmer", canonical("kmer")) if strands else pieces
+        rest = F.translate(kmer, "0123" if packed else "ACGT", "")
+        rows = rows.filter(F.col("_pure") | (rest == ""))
+    if strands:
+        kmer = F.least(kmer, F.col("_r").substr(n - F.col("pos") + 1, width).cast("string"))
+    return rows.select(*keep, "pos", (_pack(kmer, k) if packed else kmer).alias("kmer"))
 
 
 def explode_minimizers(

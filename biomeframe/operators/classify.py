@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from biomeframe.functions.sequence import explode_kmers, kmer_code
+from biomeframe.functions.sequence import explode_kmers
 from biomeframe.operators.skew import lookup_join, salted_join
 from biomeframe.operators.taxonomy import with_lca
 from biomeframe.session import stored
@@ -13,8 +13,7 @@ from biomeframe.session import stored
 
 def _kmers(df: DataFrame, k: int, keep: tuple[str, ...], strands: bool) -> DataFrame:
     """k-mers packed into longs while they fit; longer ones stay text."""
-    rows = explode_kmers(df, k, keep=keep, strands=strands)
-    return rows.withColumn("kmer", kmer_code("kmer")) if k <= 31 else rows
+    return explode_kmers(df, k, keep=keep, strands=strands, packed=k <= 31)
 
 
 def build_kmer_db(refs: DataFrame, tree: DataFrame, k: int, strands: bool = True) -> DataFrame:

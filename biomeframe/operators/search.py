@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from biomeframe.functions.sequence import (
     explode_kmers,
+    kmer_code,
     low_complexity,
     reverse_complement,
     seq_key,
@@ -37,11 +38,26 @@ NUCLEOTIDE = Scoring()
 PROTEIN = Scoring(match=5, mismatch=-2, lam=0.318, kappa=0.13)
 
 
-def _seeds(df: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
-    rows = explode_kmers(df, k, keep=("key",), acgt_only=not protein)
+def _seeds(df: DataFrame, k: int, protein: bool) -> DataFrame:
+    """``(key, pos, kmer)``; nucleotide seeds are packed into longs."""
     if protein:
-        rows = rows.filter(~F.col("kmer").rlike(r"[*X]"))
-    return rows.filter(~low_complexity("kmer", k)) if mask else rows
+        rows = explode_kmers(df, k, keep=("key",), acgt_only=False)
+        return rows.filter(~F.col("kmer").contains("*") & ~F.col("kmer").contains("X"))
+    return explode_kmers(df, k, keep=("key",), packed=k <= 31)
+
+
+def _seed_index(ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
+    """Seeds of the references, stored: the counterpart of a formatted database.
+
+    The masking is written out with them, so that it is not repeated (as an
+    inferred filter) for every seed of the queries.
+    """
+    if protein or not mask:
+        return _seeds(ref, k, protein)
+    text = explode_kmers(ref, k, keep=("key",)).filter(~low_complexity("kmer", k))
+    if k <= 31:
+        text = text.withColumn("kmer", kmer_code("kmer", k))
+    return stored(text, "seed-index")
 
 
 def _distinct(df: DataFrame) -> DataFrame:
@@ -52,10 +68,10 @@ def _distinct(df: DataFrame) -> DataFrame:
 def _segments(query: DataFrame, ref: DataFrame, k: int, min_seeds: int, mask: bool,
               protein: bool) -> DataFrame:
     """Seed spans ``(q, r, diag, seeds, qstart, qend)`` on each diagonal."""
-    q = _seeds(query, k, False, protein).select(
+    q = _seeds(query, k, protein).select(
         "kmer", F.col("key").alias("q"), F.col("pos").alias("qpos")
     )
-    r = _seeds(ref, k, mask, protein).select(
+    r = _seed_index(ref, k, mask, protein).select(
         "kmer", F.col("key").alias("r"), F.col("pos").alias("rpos")
     )
     pairs = salted_pair_join(q, r, ["kmer"], ["q", "qpos"], ["r", "rpos"])

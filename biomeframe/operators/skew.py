@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,25 +32,38 @@ def fits_broadcast(
     return seen.n <= max_rows and seen.c <= max_chars
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> dict[int, int]:
     """Hash of each frequent key and the number of pieces to cut it into.
 
-    One map-side sketch pass, at most ``HOT_KEYS`` rows out. The sketch only
-    steers the placement of rows; no result depends on it.
+    One map-side sketch pass over the key columns, at most ``HOT_KEYS`` entries
+    out. The sketch only steers the placement of rows; no result depends on it.
     """
-    sketch = df.select(F.xxhash64(*keys).alias("_kh")).agg(
-        F.expr(f"approx_top_k(_kh, {HOT_KEYS}, {HOT_KEYS * 16})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    limit = F.greatest(F.col("n") * HOT_SHARE, F.lit(float(min_rows)))
-    return (
-        sketch.select(F.explode("top").alias("t"), limit.alias("room"))
-        .filter(F.col("t.count") > F.col("room"))
-        .select(
-            F.col("t.item").alias("_kh"),
-            F.ceil(F.col("t.count") / F.col("room")).cast("int").alias("_pieces"),
+    sketch = (
+        df.select(F.xxhash64(*keys).alias("_kh"))
+        .agg(
+            F.expr(f"approx_top_k(_kh, {HOT_KEYS}, {HOT_KEYS * 16})").alias("top"),
+            F.count(F.lit(1)).alias("n"),
         )
+        .first()
     )
+    room = max(sketch.n * HOT_SHARE, float(min_rows))
+    return {t["item"]: ceil(t["count"] / room) for t in sketch.top or () if t["count"] > room}
+
+
+def _pieces(hot: dict[int, int], keys: Sequence[str]) -> Column:
+    """Number of pieces of a row's key, 1 for all but the frequent ones."""
+    if not hot:
+        return F.lit(1)
+    entries = [F.lit(x) for pair in hot.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*entries), F.xxhash64(*keys)), F.lit(1))
+
+
+def _cut(pieces: Column, spread: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*spread, F.lit(17)), pieces).cast("int")
+
+
+def _copies(pieces: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), pieces - 1))
 
 
 def salted_join(
@@ -62,36 +76,21 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join in which the frequent keys of ``big`` span many tasks.
 
-    Rows of a frequent key get a piece number from a hash of ``spread``
-    (default: the whole row); the matching rows of ``small`` are copied to
-    each piece. Valid for joins that keep ``big``'s side: inner, left,
-    left_semi, left_anti.
+    The keys of ``big`` are sketched first. Without a frequent key this is a
+    plain join. Else the rows of a frequent key get a piece number from a hash
+    of ``spread`` (default: the whole row), and the matching rows of ``small``
+    are copied to each piece. Valid for joins that keep ``big``'s side: inner,
+    left, left_semi, left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} would repeat rows of the copied side")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(big, keys, min_rows))
-    spread = list(spread or big.columns)
-    left = (
-        big.withColumn("_kh", F.xxhash64(*keys))
-        .join(hot, "_kh", "left")
-        .withColumn(
-            "_salt",
-            F.when(
-                F.col("_pieces").isNotNull(),
-                F.pmod(F.xxhash64(*spread, F.lit(17)), F.col("_pieces")).cast("int"),
-            ).otherwise(0),
-        )
-        .drop("_kh", "_pieces")
-    )
-    right = (
-        small.withColumn("_kh", F.xxhash64(*keys))
-        .join(hot, "_kh", "left")
-        .withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
-        )
-        .drop("_kh", "_pieces")
-    )
+    hot = hot_keys(big, keys, min_rows)
+    if not hot:
+        return big.join(small, keys, how)
+    pieces = _pieces(hot, keys)
+    left = big.withColumn("_salt", _cut(pieces, list(spread or big.columns)))
+    right = small.withColumn("_salt", _copies(pieces))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -110,24 +109,13 @@ def salted_pair_join(
     meets in exactly one of many tasks.
     """
     keys = list(keys)
-    hot_l = hot_keys(left, keys, min_rows).withColumnRenamed("_pieces", "_pl")
-    hot_r = hot_keys(right, keys, min_rows).withColumnRenamed("_pieces", "_pr")
-    grid = F.broadcast(hot_l.join(hot_r, "_kh", "full"))
-
-    def place(df: DataFrame, own: str, other: str, spread: Sequence[str]) -> DataFrame:
-        cut = F.pmod(F.xxhash64(*spread, F.lit(17)), F.coalesce(F.col(own), F.lit(1)))
-        copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
-        out = df.withColumn("_kh", F.xxhash64(*keys)).join(grid, "_kh", "left")
-        return out.withColumn(f"_s{own}", cut.cast("int")).withColumn(f"_s{other}", F.explode(copies)).drop(
-            "_kh", "_pl", "_pr"
-        )
-
-    on = [*keys, "_s_pl", "_s_pr"]
-    return (
-        place(left, "_pl", "_pr", spread_left)
-        .join(place(right, "_pr", "_pl", spread_right), on)
-        .drop("_s_pl", "_s_pr")
-    )
+    hot_left, hot_right = hot_keys(left, keys, min_rows), hot_keys(right, keys, min_rows)
+    if not hot_left and not hot_right:
+        return left.join(right, keys)
+    rows, columns = _pieces(hot_left, keys), _pieces(hot_right, keys)
+    a = left.withColumn("_row", _cut(rows, spread_left)).withColumn("_column", _copies(columns))
+    b = right.withColumn("_column", _cut(columns, spread_right)).withColumn("_row", _copies(rows))
+    return a.join(b, [*keys, "_row", "_column"]).drop("_row", "_column")
 
 
 def lookup_join(

@@ -21,7 +21,7 @@ from biomeframe.operators.skew import (
 )
 from biomeframe.session import checkpointed, stored
 
-MAX_ROUNDS = 8
+MAX_ROUNDS = 7
 
 
 def _root_paths(nodes: DataFrame) -> DataFrame:
@@ -32,9 +32,6 @@ def _root_paths(nodes: DataFrame) -> DataFrame:
     """
     paths = nodes.select("taxid", F.array("taxid").alias("path"), F.col("parent").alias("top"))
     for _ in range(MAX_ROUNDS):
-        paths = checkpointed(paths)
-        if paths.filter(F.col("top").isNotNull()).limit(1).count() == 0:
-            return paths.select("taxid", "path")
         up = paths.select(
             F.col("taxid").alias("top"), F.col("path").alias("up_path"), F.col("top").alias("up_top")
         )
@@ -42,8 +39,10 @@ def _root_paths(nodes: DataFrame) -> DataFrame:
         whole = F.when(F.col("up_path").isNull(), F.col("path")).otherwise(
             F.concat("up_path", "path")
         )
-        paths = joined.select("taxid", whole.alias("path"), F.col("up_top").alias("top"))
-    raise ValueError(f"the taxonomy is deeper than {2 ** (MAX_ROUNDS - 1)} or has a cycle")
+        paths = checkpointed(joined.select("taxid", whole.alias("path"), F.col("up_top").alias("top")))
+        if paths.filter(F.col("top").isNotNull()).limit(1).count() == 0:
+            return paths.select("taxid", "path")
+    raise ValueError(f"the taxonomy is deeper than {2 ** MAX_ROUNDS} or has a cycle")
 
 
 def taxonomy_tree(nodes: DataFrame) -> DataFrame:

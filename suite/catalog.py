@@ -495,16 +495,15 @@ def significant_taxa(spark, d):
 
 @query(
     "taxa_overview",
-    "WITH t AS (SELECT p_partkey AS ord, p_name AS name, p_retailprice / (SELECT sum(p_retailprice) FROM part) "
-    "AS fraction FROM part) SELECT name, ord, round(fraction, 9) AS fraction FROM t WHERE fraction > 0.001 "
+    "WITH t AS (SELECT p_name AS name, min(p_partkey) AS ord, count(*) / (SELECT count(*) FROM part) AS fraction "
+    "FROM part GROUP BY 1) SELECT name, ord, round(fraction, 9) AS fraction FROM t WHERE fraction > 0.001 "
     "ORDER BY ord LIMIT 10",
 )
 def taxa_overview(spark, d):
     part = sd.table(spark, d, "part")
-    total = part.agg(F.sum("p_retailprice").alias("n")).scalar()
-    shares = part.select(
-        F.col("p_partkey").alias("ord"), F.col("p_name").alias("name"),
-        (F.col("p_retailprice") / total).alias("fraction_total_reads"),
+    total = part.agg(F.count(F.lit(1)).alias("n")).scalar()
+    shares = part.groupBy(F.col("p_name").alias("name")).agg(
+        F.min("p_partkey").alias("ord"), (F.count(F.lit(1)) / total).alias("fraction_total_reads")
     )
     return oh.taxa_overview(shares, 10).select(
         "name", "ord", F.round("fraction_total_reads", 9).alias("fraction")
@@ -620,7 +619,7 @@ def kmer_counts(spark, d):
     "minimizers",
     _with(sd.SEQS, KMERS.format(k=15, t="seqs"))
     + "SELECT minimizer, count(*) AS n FROM (SELECT list_min(list_transform(range(1, 8), "
-    "i -> substring(kmer, i, 9))) AS minimizer FROM kmers) GROUP BY 1",
+    "lambda i: substring(kmer, i, 9))) AS minimizer FROM kmers) GROUP BY 1",
 )
 def minimizers(spark, d):
     m = fs.explode_minimizers(sd.seqs(spark, d), 15, 9)
@@ -729,6 +728,18 @@ P = _with(sd.PLACES, sd.PLACE_CLOSURE)
 CALLS = _with(sd.PLACES, sd.PLACE_CLOSURE, sd.ORDER_TAXA)
 
 
+@query(
+    "taxonomy_tree",
+    P + "SELECT taxid, parent, rank, name, CAST(CASE rank WHEN 'R' THEN 0 WHEN 'G' THEN 1 ELSE 2 END AS INTEGER) AS depth, "
+    "row_number() OVER (ORDER BY CASE rank WHEN 'R' THEN 0 WHEN 'G' THEN taxid ELSE parent END, taxid) - 1 AS pre, "
+    "(SELECT count(*) FROM place_up u WHERE u.ancestor = places.taxid) AS size FROM places",
+)
+def taxonomy_tree(spark, d):
+    return tx.taxonomy_tree(sd.place_nodes(spark, d)).select(
+        "taxid", "parent", "rank", "name", "depth", "pre", (F.col("last") - F.col("pre") + 1).alias("size")
+    )
+
+
 @query("lineage", P + "SELECT taxid, ancestor, dist FROM place_up")
 def lineage(spark, d):
     return tx.lineage(sd.place_tree(spark, d))
@@ -882,8 +893,7 @@ CLASSIFY_SQL = (
 )
 def classify_reads(spark, d):
     tree = sd.language_tree(spark, d)
-    db = cl.build_kmer_db(sd.genomes(spark, d), tree, 11)
-    return cl.classify_reads(sd.reads(spark, d), db, tree, 11)
+    return cl.classify_reads(sd.reads(spark, d), sd.language_kmers(spark, d), tree, 11)
 
 
 @query(
@@ -891,8 +901,7 @@ def classify_reads(spark, d):
     _with(sd.LEAVES, DB_SQL, sd.READS, CLASSIFY_SQL) + "SELECT ord, CAST(sum(n) AS BIGINT) AS n, count(*) AS taxa FROM rh GROUP BY ord",
 )
 def kmer_join(spark, d):
-    db = cl.build_kmer_db(sd.genomes(spark, d), sd.language_tree(spark, d), 11)
-    found = cl.kmer_join(sd.reads(spark, d), db, 11)
+    found = cl.kmer_join(sd.reads(spark, d), sd.language_kmers(spark, d), 11)
     return found.groupBy("ord").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("taxa"))
 
 
@@ -908,7 +917,7 @@ SEARCH_SQL = (
     f"rm AS (SELECT * FROM rk WHERE NOT ({LOWC})), "
     "seg AS (SELECT q, r, qpos - rpos AS diag, min(qpos) AS qstart, max(qpos) + 14 AS qend FROM qk JOIN rm USING (kmer) GROUP BY 1, 2, 3), "
     "al AS (SELECT seg.*, qend - qstart + 1 AS length, CAST(list_sum(list_transform(range(qstart, qend + 1), "
-    "i -> CASE WHEN substring(qs, i, 1) = substring(rs, i - diag, 1) THEN 1 ELSE 0 END)) AS BIGINT) AS matches, length(qs) AS qlen "
+    "lambda i: CASE WHEN substring(qs, i, 1) = substring(rs, i - diag, 1) THEN 1 ELSE 0 END)) AS BIGINT) AS matches, length(qs) AS qlen "
     "FROM seg JOIN qd USING (q) JOIN rd USING (r)), "
     "sco AS (SELECT *, ((matches - 2 * (length - matches)) * 1.33::DOUBLE - ln(0.621::DOUBLE)) / ln(2::DOUBLE) AS bits FROM al), "
     "ev AS (SELECT * FROM sco WHERE qlen * (SELECT sum(length(rs)) FROM rd) * pow(2::DOUBLE, -bits) <= 1e-5 "
@@ -1194,16 +1203,17 @@ def key_artifacts(spark, d):
 
 @query(
     "missing_items",
-    "SELECT 'c' || c_custkey AS path, c_name AS label, c_acctbal > 0 AS required, CASE WHEN c_acctbal > 0 THEN "
-    "'required' ELSE 'optional' END AS need FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "SELECT 'o' || o_orderkey AS path, o_orderpriority AS label, o_totalprice > 100000 AS required, CASE WHEN "
+    "o_totalprice > 100000 THEN 'required' ELSE 'optional' END AS need FROM orders "
+    "WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
 )
 def missing_items(spark, d):
-    expected = sd.table(spark, d, "customer").select(
-        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("path"),
-        F.col("c_name").alias("label"), (F.col("c_acctbal") > 0).alias("required"),
+    expected = sd.table(spark, d, "orders").select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("path"),
+        F.col("o_orderpriority").alias("label"), (F.col("o_totalprice") > 100000).alias("required"),
     )
-    present = sd.table(spark, d, "orders").select(
-        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("path")
+    present = sd.table(spark, d, "lineitem").select(
+        F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("path")
     )
     return fe.missing_items(expected, present)
 

@@ -8,8 +8,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from biomeframe.operators.classify import build_kmer_db
 from biomeframe.operators.taxonomy import taxonomy_tree
 
+_BUILT: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def built_once(name: str, spark: SparkSession, d: str, build) -> DataFrame:
+    """Reference data (trees, k-mer tables) is stored once per session."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
 DNA = "upper(regexp_replace(lower({c}), '[^acgt]', '', 'g'))"
 
 
@@ -190,7 +202,7 @@ def place_nodes(spark, d) -> DataFrame:
 
 
 def place_tree(spark, d) -> DataFrame:
-    return taxonomy_tree(place_nodes(spark, d))
+    return built_once("places", spark, d, lambda: taxonomy_tree(place_nodes(spark, d)))
 
 
 def order_taxa(spark, d) -> DataFrame:
@@ -237,4 +249,10 @@ def language_tree(spark, d) -> DataFrame:
         "taxid", F.lit(None).cast("string").alias("parent"), F.lit("R").alias("rank"),
         F.lit("root").alias("name"),
     )
-    return taxonomy_tree(root.unionByName(lang).unionByName(leaf))
+    nodes = root.unionByName(lang).unionByName(leaf)
+    return built_once("languages", spark, d, lambda: taxonomy_tree(nodes))
+
+
+def language_kmers(spark, d) -> DataFrame:
+    tree = language_tree(spark, d)
+    return built_once("kmers", spark, d, lambda: build_kmer_db(genomes(spark, d), tree, 11))
