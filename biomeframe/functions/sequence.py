@@ -163,16 +163,18 @@ def codons(dna: str, frame: Column, render) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def amino_acid(codon: Column) -> Column:
-    """One-letter amino acid; X if the codon holds an ambiguous base."""
-    base = [_base_index(codon, i) for i in (1, 2, 3)]
-    index = base[0] * 16 + base[1] * 4 + base[2]
-    known = F.translate(codon, CODON_BASES, "") == ""
-    return F.when(known, F.substring(F.lit(CODON_AMINO_ACIDS), index + 1, F.lit(1))).otherwise("X")
+_CODON_LINE = "".join(
+    f"{a}{b}{c}." for a in CODON_BASES for b in CODON_BASES for c in CODON_BASES
+)
+
 
+def amino_acid(codon: Column) -> Column:
+    """One-letter amino acid; X if the codon holds an ambiguous base.
 
-def _base_index(codon: Column, i: int) -> Column:
-    return F.instr(F.lit(CODON_BASES), F.substring(codon, i, 1)) - 1
+    The place of the codon in the line of all codons is its table index.
+    """
+    place = F.instr(F.lit(_CODON_LINE), codon)
+    return F.substring(F.lit("X" + CODON_AMINO_ACIDS), F.shiftright(place + 3, 2) + 1, F.lit(1))
 
 
 def translate_frames(

@@ -8,7 +8,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from biomeframe.session import checkpointed
+from biomeframe.session import stored
 
 BROADCAST_ROWS = 50_000
 BROADCAST_CHARS = 64 << 20
@@ -176,11 +176,11 @@ def running_total(
 def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "ord") -> DataFrame:
     """Dense 0-based position of every row in a total order.
 
-    Range-partitioned sort, a reliable checkpoint to pin the partitions, then
-    one offset per partition (the broadcast has as many rows as partitions).
+    Range-partitioned sort, stored to pin the partitions, then one offset per
+    partition (the broadcast has as many rows as partitions).
     """
-    pinned = checkpointed(
-        df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id())
+    pinned = stored(
+        df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()), "sorted"
     ).withColumn("_p", F.shiftright("_m", 33))
     offsets = pinned.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     offsets = offsets.select(

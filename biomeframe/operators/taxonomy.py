@@ -19,7 +19,7 @@ from biomeframe.operators.skew import (
     lookup_join,
     salted_join,
 )
-from biomeframe.session import checkpointed, stored
+from biomeframe.session import stored
 
 MAX_ROUNDS = 7
 
@@ -28,7 +28,7 @@ def _root_paths(nodes: DataFrame) -> DataFrame:
     """``(taxid, path)`` with the ids from the root down, by pointer doubling.
 
     Each round doubles the known part of every path, so a tree of depth d
-    takes log2(d) joins; each round is checkpointed.
+    takes log2(d) joins; each round is stored.
     """
     paths = nodes.select("taxid", F.array("taxid").alias("path"), F.col("parent").alias("top"))
     for _ in range(MAX_ROUNDS):
@@ -39,7 +39,9 @@ def _root_paths(nodes: DataFrame) -> DataFrame:
         whole = F.when(F.col("up_path").isNull(), F.col("path")).otherwise(
             F.concat("up_path", "path")
         )
-        paths = checkpointed(joined.select("taxid", whole.alias("path"), F.col("up_top").alias("top")))
+        paths = stored(
+            joined.select("taxid", whole.alias("path"), F.col("up_top").alias("top")), "paths"
+        )
         if paths.filter(F.col("top").isNotNull()).limit(1).count() == 0:
             return paths.select("taxid", "path")
     raise ValueError(f"the taxonomy is deeper than {2 ** MAX_ROUNDS} or has a cycle")
@@ -56,10 +58,11 @@ def taxonomy_tree(nodes: DataFrame) -> DataFrame:
         .groupBy("taxid")
         .agg(F.count(F.lit(1)).alias("size"))
     )
-    base = checkpointed(
+    base = stored(
         numbered.join(sizes, "taxid").select(
             "taxid", "path", "pre", (F.col("pre") + F.col("size") - 1).alias("last")
-        )
+        ),
+        "numbered",
     )
     span = base.select(
         F.col("taxid").alias("anc"), F.struct("pre", "last", "taxid").alias("span")

@@ -53,19 +53,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/biomeframe/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint that outlives executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
-    Used where several results read one expensive intermediate. Unlike a
-    cached frame it survives lost executors without being computed again.
+    Used to cut the lineage of loops and where several results read one
+    expensive intermediate. Unlike a cached frame it survives lost executors,
+    and unlike an eager checkpoint it is computed once, not twice.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -29,6 +29,20 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table whose rows are expanded: spread over the cores if it is small.
+
+    A file below the size of a row group is one task however many cores wait.
+    Tables with enough row groups for all cores are left as they are.
+    """
+    path = f"{d}/{name}.parquet"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    size = files.agg(F.sum("length").alias("n")).first().n
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.read.parquet(path)
+    return df.repartition(cores) if size < cores * (128 << 20) else df
+
+
 def dna(c: str):
     return F.upper(F.regexp_replace(F.lower(c), "[^acgt]", ""))
 
@@ -39,7 +53,7 @@ SEQS = f"seqs AS (SELECT source AS id, doc_id AS ord, {DNA.format(c='text')} AS
 
 
 def seqs(spark, d) -> DataFrame:
-    return table(spark, d, "documents").select(
+    return spread_table(spark, d, "documents").select(
         F.col("source").alias("id"), F.col("doc_id").alias("ord"), dna("text").alias("seq")
     )
 
@@ -51,7 +65,7 @@ READS = (
 
 
 def reads(spark, d) -> DataFrame:
-    return table(spark, d, "conversations").select(
+    return spread_table(spark, d, "conversations").select(
         F.concat_ws(".", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"),
         dna("text").alias("seq"),
@@ -228,7 +242,7 @@ LEAVES = f"leaves AS (SELECT lang || '|' || source AS taxid, lang, {DNA.format(c
 
 def genomes(spark, d) -> DataFrame:
     """Documents as reference sequences of the leaf (lang, source)."""
-    return table(spark, d, "documents").select(
+    return spread_table(spark, d, "documents").select(
         F.concat_ws("|", "lang", "source").alias("taxid"), "lang", dna("text").alias("seq")
     )
 
