@@ -158,7 +158,7 @@ def load_hit_cache(spark: SparkSession, path) -> DataFrame:
                 return empty
             raise
     try:
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
             return empty
