@@ -42,7 +42,7 @@ def kmer_code(kmer: Column | str, k: int) -> Column:
 
 def _pack(digits: Column, k: int) -> Column:
     # Up to 18 digits can be read as a decimal number, which is much cheaper.
-    return digits.cast("long") if k <= 18 else F.conv(digits, 4, 10).cast("long")
+    return digits.try_cast("long") if k <= 18 else F.conv(digits, 4, 10).cast("long")
 
 
 def kmer_text(code: Column | str, k: int) -> Column:
@@ -80,10 +80,14 @@ def explode_kmers(
     strands: bool = False,
     acgt_only: bool = True,
     packed: bool = False,
+    flanks: bool = False,
 ) -> DataFrame:
     """One row per k-mer: the kept columns, 1-based ``pos`` and ``kmer``.
 
-    ``strands=True`` gives the canonical form, ``packed=True`` longs. Case,
+    ``strands=True`` gives the canonical form, ``packed=True`` longs, and
+    ``flanks=True`` the character codes ``prev`` and ``next`` of the letters
+    around the k-mer, 0 at the ends and, under ``acgt_only``, for other letters
+    than A, C, G, T. Case,
     complement and digits are worked out once per sequence; a k-mer is then a
     cut of bytes, O(k), where cutting a string would cost O(pos).
     """
@@ -113,7 +117,16 @@ def explode_kmers(
         rows = rows.filter(F.col("_pure") | (rest == ""))
     if strands:
         kmer = F.least(kmer, F.col("_r").substr(n - F.col("pos") + 1, width).cast("string"))
-    return rows.select(*keep, "pos", (_pack(kmer, k) if packed else kmer).alias("kmer"))
+    sides = []
+    if flanks:
+        at = {"prev": F.col("pos") - 1, "next": F.col("pos") + k}
+        for name, place in at.items():
+            code = F.ascii(F.col("_f").substr(place, F.lit(1)).cast("string"))
+            inside = place >= 1
+            if acgt_only:
+                inside = inside & (F.col("_pure") | code.isin(*map(ord, "0123" if packed else "ACGT")))
+            sides.append(F.when(inside, code).otherwise(0).alias(name))
+    return rows.select(*keep, "pos", (_pack(kmer, k) if packed else kmer).alias("kmer"), *sides)
 
 
 def explode_minimizers(
@@ -125,11 +138,9 @@ def explode_minimizers(
 ) -> DataFrame:
     """One row per k-mer window with its smallest inner ``length``-mer."""
     windows = explode_kmers(df, k, seq, keep)
-    inner = F.transform(
-        F.sequence(F.lit(1), F.lit(k - length + 1)),
-        lambda i: F.substring(F.col("kmer"), i, length),
-    )
-    return windows.select(*keep, "pos", F.array_min(inner).alias("minimizer"))
+    inner = [F.substring("kmer", i, length) for i in range(1, k - length + 2)]
+    smallest = F.least(*inner) if len(inner) > 1 else inner[0]
+    return windows.select(*keep, "pos", smallest.alias("minimizer"))
 
 
 def strand_frames(

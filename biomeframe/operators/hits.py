@@ -51,14 +51,15 @@ def organism_hit_counts(hits: DataFrame) -> DataFrame:
     first_seen)``.
 
     Counted per (organism, sequence) first, so an organism that owns most hits
-    is spread over its sequences before it meets in one reducer.
+    is spread over its sequences before it meets in one reducer. ``first_seen``
+    is the place (ord, pos) as one number, which hash aggregates can hold.
     """
-    named = hits.withColumn("organism", F.coalesce("organism", F.lit("Unknown")))
-    per_sequence = named.groupBy("organism", "query_id", "ord").agg(
-        F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos")
+    place = F.col("ord").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
+    named = hits.select(
+        F.coalesce("organism", F.lit("Unknown")).alias("organism"), "query_id", place.alias("seen")
     )
-    per_query = per_sequence.groupBy("organism", "query_id").agg(
-        F.sum("n").alias("n"), F.min(F.struct("ord", "pos")).alias("seen")
+    per_query = named.groupBy("organism", "query_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seen").alias("seen")
     )
     out = per_query.groupBy("organism").agg(
         F.sum("n").alias("total_hits"),

@@ -39,25 +39,45 @@ PROTEIN = Scoring(match=5, mismatch=-2, lam=0.318, kappa=0.13)
 
 
 def _seeds(df: DataFrame, k: int, protein: bool) -> DataFrame:
-    """``(key, pos, kmer)``; nucleotide seeds are packed into longs."""
-    if protein:
-        rows = explode_kmers(df, k, keep=("key",), acgt_only=False)
-        return rows.filter(~F.col("kmer").contains("*") & ~F.col("kmer").contains("X"))
-    return explode_kmers(df, k, keep=("key",), packed=k <= 31)
+    """``(key, pos, kmer, prev, next)``; nucleotide seeds are packed into longs.
+
+    ``prev`` and ``next`` are the codes of the letters beside the seed, 0 where
+    no seed can lie one step further.
+    """
+    if not protein:
+        return explode_kmers(df, k, keep=("key",), packed=k <= 31, flanks=True)
+    rows = explode_kmers(df, k, keep=("key",), acgt_only=False, flanks=True)
+    rows = rows.filter(~F.col("kmer").contains("*") & ~F.col("kmer").contains("X"))
+    flanks = [
+        F.when(F.col(c).isin(ord("*"), ord("X")), 0).otherwise(F.col(c)).alias(c)
+        for c in ("prev", "next")
+    ]
+    return rows.select("key", "pos", "kmer", *flanks)
 
 
 def _seed_index(ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
     """Seeds of the references, stored: the counterpart of a formatted database.
 
     The masking is written out with them, so that it is not repeated (as an
-    inferred filter) for every seed of the queries.
+    inferred filter) for every seed of the queries. A flank is missing where
+    the next seed would be masked.
     """
     if protein or not mask:
         return _seeds(ref, k, protein)
-    text = explode_kmers(ref, k, keep=("key",)).filter(~low_complexity("kmer", k))
+    text = explode_kmers(ref, k, keep=("key",), flanks=True).filter(~low_complexity("kmer", k))
+    before = F.concat(F.char("prev"), F.substring("kmer", 1, k - 1))
+    after = F.concat(F.expr("substring(kmer, 2)"), F.char("next"))
+
+    def flank(name: str, step: Column) -> Column:
+        seed = (F.col(name) > 0) & ~low_complexity(step, k)
+        code = F.ascii(F.translate(F.char(name), "ACGT", "0123")) if k <= 31 else F.col(name)
+        return F.when(seed, code).otherwise(0).alias(name)
+
+    rows = text.select("key", "pos", "kmer", flank("prev", before), flank("next", after))
     if k <= 31:
-        text = text.withColumn("kmer", kmer_code("kmer", k))
-    return stored(text, "seed-index")
+        # In a step of its own: lambdas above would see this alias, not the text.
+        rows = rows.withColumn("kmer", kmer_code("kmer", k))
+    return stored(rows, "seed-index")
 
 
 def _distinct(df: DataFrame) -> DataFrame:
@@ -67,18 +87,31 @@ def _distinct(df: DataFrame) -> DataFrame:
 
 def _segments(query: DataFrame, ref: DataFrame, k: int, min_seeds: int, mask: bool,
               protein: bool) -> DataFrame:
-    """Seed spans ``(q, r, diag, seeds, qstart, qend)`` on each diagonal."""
+    """Seed spans ``(q, r, diag, seeds, qstart, qend)`` on each diagonal.
+
+    Of a run of neighbouring seed pairs only the first and the last leave the
+    join: a pair whose neighbours match on both sides adds nothing to the span,
+    and the run's length is the difference of its ends. A long match thus
+    shuffles two rows instead of one per position.
+    """
     q = _seeds(query, k, protein).select(
-        "kmer", F.col("key").alias("q"), F.col("pos").alias("qpos")
+        "kmer", F.col("key").alias("q"), F.col("pos").alias("qpos"),
+        F.col("prev").alias("qprev"), F.col("next").alias("qnext"),
     )
     r = _seed_index(ref, k, mask, protein).select(
-        "kmer", F.col("key").alias("r"), F.col("pos").alias("rpos")
+        "kmer", F.col("key").alias("r"), F.col("pos").alias("rpos"),
+        F.col("prev").alias("rprev"), F.col("next").alias("rnext"),
     )
-    pairs = salted_pair_join(q, r, ["kmer"], ["q", "qpos"], ["r", "rpos"])
+    first, last = [
+        (F.col(f"q{side}") != F.col(f"r{side}")) | (F.col(f"q{side}") == 0)
+        for side in ("prev", "next")
+    ]
+    ends = salted_pair_join(q, r, ["kmer"], ["q", "qpos"], ["r", "rpos"]).filter(first | last)
+    sum_of = lambda side: F.coalesce(F.sum(F.when(side, F.col("qpos"))), F.lit(0))
     return (
-        pairs.groupBy("q", "r", (F.col("qpos") - F.col("rpos")).alias("diag"))
+        ends.groupBy("q", "r", (F.col("qpos") - F.col("rpos")).alias("diag"))
         .agg(
-            F.count(F.lit(1)).alias("seeds"),
+            (sum_of(last) - sum_of(first) + F.count_if(first)).alias("seeds"),
             F.min("qpos").alias("qstart"),
             (F.max("qpos") + (k - 1)).alias("qend"),
         )

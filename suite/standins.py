@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from biomeframe.operators.classify import build_kmer_db
 from biomeframe.operators.taxonomy import taxonomy_tree
+from biomeframe.session import stored
 
 _BUILT: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -29,18 +30,24 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A table whose rows are expanded: spread over the cores if it is small.
+def sequence_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A text table with ``seq`` worked out, stored once per session.
 
-    A file below the size of a row group is one task however many cores wait.
-    Tables with enough row groups for all cores are left as they are.
+    A file below the size of a row group is one task however many cores wait,
+    so small tables are spread; larger ones keep their partitions.
     """
-    path = f"{d}/{name}.parquet"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    size = files.agg(F.sum("length").alias("n")).first().n
-    cores = spark.sparkContext.defaultParallelism
-    df = spark.read.parquet(path)
-    return df.repartition(cores) if size < cores * (128 << 20) else df
+
+    def build() -> DataFrame:
+        path = f"{d}/{name}.parquet"
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        size = files.agg(F.sum("length").alias("n")).first().n
+        cores = spark.sparkContext.defaultParallelism
+        df = spark.read.parquet(path)
+        if size < cores * (128 << 20):
+            df = df.repartition(cores)
+        return stored(df.withColumn("seq", dna("text")), name)
+
+    return built_once(f"seq-{name}", spark, d, build)
 
 
 def dna(c: str):
@@ -53,8 +60,8 @@ SEQS = f"seqs AS (SELECT source AS id, doc_id AS ord, {DNA.format(c='text')} AS
 
 
 def seqs(spark, d) -> DataFrame:
-    return spread_table(spark, d, "documents").select(
-        F.col("source").alias("id"), F.col("doc_id").alias("ord"), dna("text").alias("seq")
+    return sequence_table(spark, d, "documents").select(
+        F.col("source").alias("id"), F.col("doc_id").alias("ord"), "seq"
     )
 
 
@@ -65,10 +72,10 @@ READS = (
 
 
 def reads(spark, d) -> DataFrame:
-    return spread_table(spark, d, "conversations").select(
+    return sequence_table(spark, d, "conversations").select(
         F.concat_ws(".", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"),
-        dna("text").alias("seq"),
+        "seq",
     )
 
 
@@ -86,10 +93,10 @@ REFS = (
 
 
 def refs(spark, d) -> DataFrame:
-    return table(spark, d, "benchmark").select(
+    return sequence_table(spark, d, "benchmark").select(
         F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("id"),
         F.col("text").alias("description"),
-        dna("text").alias("seq"),
+        "seq",
     )
 
 
@@ -143,6 +150,10 @@ RESULT_HITS = (
 
 def results(spark, d) -> DataFrame:
     """One result per event: errors, empty results, one hit, or two hits."""
+    return built_once("results", spark, d, lambda: stored(_results(spark, d), "results"))
+
+
+def _results(spark, d) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
     name = F.when(k != 50, F.concat(F.lit("org"), k.cast("string")))
     second = F.concat(F.lit("org"), (F.col("user_id") % 10).cast("string"))
@@ -242,8 +253,8 @@ LEAVES = f"leaves AS (SELECT lang || '|' || source AS taxid, lang, {DNA.format(c
 
 def genomes(spark, d) -> DataFrame:
     """Documents as reference sequences of the leaf (lang, source)."""
-    return spread_table(spark, d, "documents").select(
-        F.concat_ws("|", "lang", "source").alias("taxid"), "lang", dna("text").alias("seq")
+    return sequence_table(spark, d, "documents").select(
+        F.concat_ws("|", "lang", "source").alias("taxid"), "lang", "seq"
     )
 
 

@@ -24,7 +24,7 @@ def low(kmer):
     return counts[0] + counts[1] >= len(kmer) - len(kmer) // 8
 
 
-def brute(queries, refs, k, max_evalue=1e-5, mask=True):
+def brute(queries, refs, k, max_evalue=1e-5, mask=True, min_seeds=1):
     n_db = sum(len(s) for s in {s for _, s in refs})
     out = set()
     for qid, q in queries:
@@ -37,6 +37,8 @@ def brute(queries, refs, k, max_evalue=1e-5, mask=True):
                             diags.setdefault(i - j, []).append(i)
                 best = None
                 for d, places in diags.items():
+                    if len(places) < min_seeds:
+                        continue
                     a, b = min(places), max(places) + k
                     same = sum(s[x] == r[x - d] for x in range(a, b))
                     raw = same - 2 * (b - a - same)
@@ -75,12 +77,13 @@ def rows(hits):
 
 
 @pytest.mark.parametrize("mask", [True, False])
-def test_search_equals_brute_force(spark, homologs, mask):
+@pytest.mark.parametrize("min_seeds", [1, 40])
+def test_search_equals_brute_force(spark, homologs, mask, min_seeds):
     queries, refs = homologs
     q, r = frames(spark, queries, refs)
-    want = brute(queries, refs, 11, mask=mask)
-    got = rows(se.similarity_search(q, r, 11, mask=mask))
-    assert got == want and len(want) > 10
+    want = brute(queries, refs, 11, mask=mask, min_seeds=min_seeds)
+    got = rows(se.similarity_search(q, r, 11, mask=mask, min_seeds=min_seeds))
+    assert got == want and len(want) > (10 if min_seeds == 1 else 3)
     assert any(h[0] == "polyq" for h in got) is not mask
 
 
