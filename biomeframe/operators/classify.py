@@ -6,10 +6,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from biomeframe.functions.sequence import explode_kmers
-from biomeframe.operators.skew import lookup_join, salted_join
+from biomeframe.operators.skew import (
+    BROADCAST_CHARS,
+    fits_broadcast,
+    hash_side,
+    lookup_join,
+    salted_join,
+)
 from biomeframe.operators.taxonomy import with_lca
 from biomeframe.session import stored
 
+# Rows of three longs; 64 MB of printed text is the second limit.
+BROADCAST_KMERS = 2_000_000
+
 
 def _kmers(df: DataFrame, k: int, keep: tuple[str, ...], strands: bool) -> DataFrame:
     """k-mers packed into longs while they fit; longer ones stay text."""
@@ -39,20 +48,21 @@ def kmer_join(
     k: int,
     key: str = "ord",
     strands: bool = True,
-    salted: bool = True,
+    max_broadcast: int = BROADCAST_KMERS,
 ) -> DataFrame:
     """``(key, pre, last, n)``: k-mers of each read found in the database, by taxon.
 
     The database has one row per k-mer, so the join never multiplies rows. A
-    k-mer that fills the reads is spread over many tasks.
+    database counted small is broadcast: the k-mers of a read then never leave
+    their task and are summed before the only shuffle. Beyond that k-mers are
+    shuffled, and one that fills the reads is spread over many tasks.
     """
     kmers = _kmers(reads, k, (key,), strands).select(key, "kmer")
     table = db.select("kmer", "pre", "last")
-    found = (
-        salted_join(kmers, table, ["kmer"], "inner", spread=[key])
-        if salted
-        else kmers.join(table, "kmer")
-    )
+    if fits_broadcast(table, max_broadcast, BROADCAST_CHARS):
+        found = kmers.join(F.broadcast(table), "kmer")
+    else:
+        found = salted_join(kmers, hash_side(table), ["kmer"], "inner", spread=[key])
     return found.groupBy(key, "pre", "last").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -121,14 +131,13 @@ def classify_reads(
     key: str = "ord",
     confidence: float = 0.0,
     strands: bool = True,
-    salted: bool = True,
 ) -> DataFrame:
     """Per read: ``status`` (C/U), ``id``, ``taxid``, ``length``, ``score``, key.
 
     Taxa with equal best scores are resolved to their LCA. Mates are pooled by
     passing a frame with one ``key`` for both (``pair_id``).
     """
-    hits = kmer_join(reads, db, k, key, strands, salted)
+    hits = kmer_join(reads, db, k, key, strands)
     if confidence > 0:
         hits = stored(hits, "kmer-hits")
     calls = with_lca(best_taxa(hits, key), tree)

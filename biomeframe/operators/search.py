@@ -17,7 +17,7 @@ from biomeframe.functions.sequence import (
     seq_key,
     translate_frames,
 )
-from biomeframe.operators.skew import lookup_join, salted_join, salted_pair_join
+from biomeframe.operators.skew import hash_side, lookup_join, salted_join, salted_pair_join
 from biomeframe.session import stored
 
 PATHOGENIC, NON_PATHOGENIC, UNKNOWN = "Pathogenic", "Non-pathogenic", "Unknown"
@@ -63,7 +63,7 @@ def _seed_index(ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
     the next seed would be masked.
     """
     if protein or not mask:
-        return _seeds(ref, k, protein)
+        return stored(_seeds(ref, k, protein), "seed-index")
     text = explode_kmers(ref, k, keep=("key",), flanks=True).filter(~low_complexity("kmer", k))
     before = F.concat(F.char("prev"), F.substring("kmer", 1, k - 1))
     after = F.concat(F.expr("substring(kmer, 2)"), F.char("next"))
@@ -106,7 +106,8 @@ def _segments(query: DataFrame, ref: DataFrame, k: int, min_seeds: int, mask: bo
         (F.col(f"q{side}") != F.col(f"r{side}")) | (F.col(f"q{side}") == 0)
         for side in ("prev", "next")
     ]
-    ends = salted_pair_join(q, r, ["kmer"], ["q", "qpos"], ["r", "rpos"]).filter(first | last)
+    pairs = salted_pair_join(q, hash_side(r), ["kmer"], ["q", "qpos"], ["r", "rpos"])
+    ends = pairs.filter(first | last)
     sum_of = lambda side: F.coalesce(F.sum(F.when(side, F.col("qpos"))), F.lit(0))
     return (
         ends.groupBy("q", "r", (F.col("qpos") - F.col("rpos")).alias("diag"))

@@ -15,6 +15,7 @@ BROADCAST_CHARS = 64 << 20
 HOT_KEYS = 1_000
 HOT_SHARE = 1.0 / 2_000
 HOT_ROWS = 1_000_000
+HASH_ROWS = 1_000_000
 
 
 def fits_broadcast(
@@ -32,6 +33,20 @@ def fits_broadcast(
     return seen.n <= max_rows and seen.c <= max_chars
 
 
+def hash_side(df: DataFrame, rows_per_partition: int = HASH_ROWS) -> DataFrame:
+    """Ask for a join that need not sort the other side, if ``df`` is small enough.
+
+    Broadcast up to ``BROADCAST_ROWS`` rows, a hash join built on ``df`` while
+    its share per partition is small, else Spark's choice. For stored tables of
+    narrow rows, which are counted from file footers.
+    """
+    rows = df.count()
+    if rows <= BROADCAST_ROWS:
+        return F.broadcast(df)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.hint("shuffle_hash") if rows <= partitions * rows_per_partition else df
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> dict[int, int]:
     """Hash of each frequent key and the number of pieces to cut it into.
 

@@ -159,7 +159,10 @@ def brute_classify(parents, db, seq, k, confidence=0.0):
 
 
 @pytest.mark.parametrize("k", [5, 33])
-def test_database_and_classification(spark, world, k):
+@pytest.mark.parametrize("small", [True, False])
+def test_database_and_classification(spark, world, monkeypatch, k, small):
+    if not small:
+        monkeypatch.setattr(cl, "fits_broadcast", lambda *a: False)
     parents, tree = world
     rng = random.Random(k)
     core = "".join(rng.choices("ACGT", k=400))
@@ -200,7 +203,7 @@ def test_classification_with_a_hot_kmer(spark, world, monkeypatch):
     db = cl.build_kmer_db(refs, tree, 7)
     df = spark.createDataFrame([(f"r{i}", i, "A" * 30 + "ACGTTGCATT") for i in range(50)], "id string, ord long, seq string")
     plain = {(r.ord, r.taxid, r.score) for r in cl.classify_reads(df, db, tree, 7).collect()}
-    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    monkeypatch.setattr(cl, "fits_broadcast", lambda *a: False)
     real = skew.salted_join
     monkeypatch.setattr(cl, "salted_join", lambda *a, **o: real(*a, **{**o, "min_rows": 100}))
     assert {(r.ord, r.taxid, r.score) for r in cl.classify_reads(df, db, tree, 7).collect()} == plain
