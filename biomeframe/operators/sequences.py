@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biomeframe.functions.sequence import gc_fraction, seq_key
@@ -125,9 +125,15 @@ def assembly_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def gc_content(df: DataFrame) -> DataFrame:
-    return df.withColumn("gc", gc_fraction("seq"))
+def length_distribution(df: DataFrame, width: int = 100) -> DataFrame:
+    """``(bin, low, contigs, bases)`` over length bins of ``width``."""
+    n = F.length("seq").cast("long")
+    return (
+        df.groupBy(F.floor(n / width).cast("long").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("contigs"), F.sum(n).alias("bases"))
+        .select("bin", (F.col("bin") * width).alias("low"), "contigs", "bases")
+    )
 
 
-def length_order() -> list[Column]:
-    return [F.desc(F.length("seq")), F.asc("ord")]
+def gc_content(df: DataFrame) -> DataFrame:
+    return df.withColumn("gc", gc_fraction("seq"))

@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biomeframe.functions.text import fmt_fixed
-from biomeframe.operators.hits import classification_metrics, organism_table
+from biomeframe.operators.hits import (
+    classification_metrics,
+    krona_rows,
+    organism_table,
+    report_order,
+)
 from biomeframe.operators.sequences import unique_ids
 
 REPORT_COLUMNS = ["percentage", "clade_reads", "taxon_reads", "rank", "taxid", "name"]
@@ -117,6 +122,11 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", header: boo
     df.write.mode(mode).option("header", header).option("sep", "\t").option("quote", "").csv(path)
 
 
+def write_krona_input(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """``hit_count`` and ``organism`` lines of a search report, in its order."""
+    write_tsv(krona_rows(report.orderBy(*report_order())), path, mode)
+
+
 def save_hit_cache(df: DataFrame, path: str) -> None:
     """Append results to the cache table, one folder per leading key digits.
 

@@ -722,6 +722,52 @@ def search_time_label(spark, d):
     return sd.table(spark, d, "orders").select("o_orderkey", unit.alias("label"))
 
 
+@query(
+    "product_fields",
+    "SELECT p_partkey, p_name AS product, p_type AS organism, CAST(p_size AS BIGINT) AS taxid, p_brand AS gene FROM part",
+)
+def product_fields(spark, d):
+    title = F.concat(
+        F.lit("sp|"), F.col("p_partkey").cast("string"), F.lit(" "), F.col("p_name"), F.lit(" OS="),
+        F.col("p_type"), F.lit(" OX="), F.col("p_size").cast("string"), F.lit(" GN="), F.col("p_brand"),
+        F.lit(" PE=4 SV=1"),
+    )
+    part = sd.table(spark, d, "part").select("p_partkey", ft.product_fields(title).alias("x"))
+    return part.select("p_partkey", "x.*")
+
+
+@query(
+    "length_distribution",
+    S + "SELECT CAST(length(seq) // 100 AS BIGINT) AS bin, CAST(length(seq) // 100 * 100 AS BIGINT) AS low, "
+    "count(*) AS contigs, CAST(sum(length(seq)) AS BIGINT) AS bases FROM seqs GROUP BY 1, 2",
+)
+def length_distribution(spark, d):
+    return os_.length_distribution(sd.seqs(spark, d), 100)
+
+
+@query(
+    "krona_file",
+    RC + f"SELECT clade_reads AS hit_count, name AS organism FROM ({REPORT_SQL}) "
+    "WHERE name <> 'unclassified' AND round(percentage, 2) > 0.1",
+)
+def krona_file(spark, d):
+    path = scratch_path(spark, "krona")
+    wr.write_krona_input(oh.kraken_style_report(sd.results(spark, d)), path)
+    return spark.read.schema("hit_count long, organism string").option("sep", "\t").csv(path)
+
+
+@query("translated_search")
+def translated_search(spark, d):
+    """Six frames of the documents in the first frame of the benchmark items."""
+    frames = fs.translate_frames(sd.refs(spark, d), keep=("id", "description"))
+    proteins = frames.filter("strand = '+' AND frame = 1").select(
+        "id", "description", F.col("protein").alias("seq")
+    )
+    return se.translated_search(sd.seqs(spark, d), proteins, 5).select(
+        "qseqid", "sseqid", "ord", "strand", "qstart", "qend", F.round("pident", 6).alias("pident"), "length"
+    )
+
+
 # --- taxonomy ----------------------------------------------------------------
 
 P = _with(sd.PLACES, sd.PLACE_CLOSURE)
