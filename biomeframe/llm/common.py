@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +34,23 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in {c.lower() for c in df.columns}:
         name += "_"
     return name
+
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Hand this package to the Python workers of the session's executors, once.
+
+    Needed by operators that run Python functions of this package; the zip goes
+    through Spark's own file server, so executors need no copy of the library.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        at = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(at, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(at))
+        _SHIPPED.add(context.applicationId)
+    return spark

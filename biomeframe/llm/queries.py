@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biomeframe.llm import decontaminate, packing, quality
+from biomeframe.llm import decontaminate, langid, packing, quality, simhash
 from biomeframe.llm.common import table
 
 
@@ -22,13 +23,27 @@ def op2_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"))
 
 
+def op3_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, d, "documents")).drop("fp", "text_hash")
+
+
+def op7_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = langid.train(docs.filter(~held_out))
+    return langid.predict(docs, model, extra=held_out).withColumnRenamed("extra", "held_out")
+
+
 def op8_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_report(table(spark, d, "documents")).drop("c1", "c2")
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op3_simhash_dedup": op3_simhash_dedup,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
 }
 
