@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biomeframe.llm import decontaminate, langid, packing, quality, simhash
+from biomeframe.llm import decontaminate, langid, packing, quality, simhash, warc
 from biomeframe.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op3_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents")).drop("fp", "text_hash")
 
 
+def op6_warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.archived(table(spark, d, "pages")).drop("payload", "url")
+
+
 def op7_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op6_warc": op6_warc,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
 }
@@ -166,4 +171,19 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM measured
 """
 
-ORACLES = {"op1_decontamination": _OP1, "op2_packing": _op2(), "op8_quality_rules": _OP8}
+_BASE32 = " || ".join(
+    f"substr('{warc.BASE32}', CAST((('0x' || substr(h, {5 * k + 1}, 5))::INT >> {s}) & 31 AS INT) + 1, 1)"
+    for k in range(8) for s in (15, 10, 5, 0)
+)
+_OP6 = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), o AS (SELECT html, max(page_id) AS owner FROM p GROUP BY html)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM p JOIN o USING (html)
+"""
+
+ORACLES = {"op1_decontamination": _OP1, "op2_packing": _op2(), "op6_warc": _OP6,
+           "op8_quality_rules": _OP8}
