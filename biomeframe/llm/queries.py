@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biomeframe.llm import decontaminate, langid, packing, quality, simhash, warc
+from biomeframe.llm import decontaminate, langid, packing, quality, simhash, tokenfiles, warc
 from biomeframe.llm.common import table
 
 
@@ -27,6 +28,13 @@ def op3_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents")).drop("fp", "text_hash")
 
 
+def op5_token_files(spark: SparkSession, d: str) -> DataFrame:
+    # This tokenizer drops white space and never looks across it.
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, d, "documents")
+    return tokenfiles.tokenised(docs, path, end_id=1, by_word=True)
+
+
 def op6_warc(spark: SparkSession, d: str) -> DataFrame:
     return warc.archived(table(spark, d, "pages")).drop("payload", "url")
 
@@ -47,6 +55,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op5_token_files": op5_token_files,
     "op6_warc": op6_warc,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
