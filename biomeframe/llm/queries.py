@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biomeframe.llm import chat, decontaminate, htmltext, langid, packing, quality, simhash, tokenfiles, warc
+from biomeframe.llm import chat, decontaminate, htmltext, langid, lmscore, packing, quality, simhash, tokenfiles, warc
 from biomeframe.llm.common import table
 from biomeframe.session import stored
 
@@ -62,6 +62,10 @@ def op8_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_report(table(spark, d, "documents")).drop("c1", "c2")
 
 
+def op9_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    return lmscore.pseudo_likelihood(table(spark, d, "documents"))
+
+
 def op10_html_text(spark: SparkSession, d: str) -> DataFrame:
     return htmltext.extract_text(table(spark, d, "pages"))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_score": op9_lm_score,
     "op10_html_text": op10_html_text,
 }
 
