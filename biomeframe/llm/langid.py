@@ -28,6 +28,7 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 _BLOCK = 1 << 18
 _ROWS = 512
+_NONE = 1 << BITS
 
 
 @dataclass
@@ -57,18 +58,20 @@ def _buckets(folded: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _blocks(texts: Iterator[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Folded code points of several texts, with the starts and numbers of the texts.
+def _blocks(texts: Iterator[str]) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Buckets of several texts for each order, with the starts and numbers of the texts.
 
-    A text stands between zeros, so that no n-gram has letters of two texts. A
-    text longer than a block comes in pieces that overlap by two.
+    A text stands between zeros. A text longer than a block comes in pieces that
+    overlap by two, so that each n-gram starts in one of them. The two places at
+    the end of each piece start no n-gram of it and get the bucket ``_NONE``.
     """
     parts, owners, size = [], [], 0
     for k, text in enumerate(texts):
         codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         for at in range(0, len(codes), _BLOCK):
             piece = _fold()[codes[max(at - 2, 0) : at + _BLOCK]]
-            parts.append(np.concatenate((piece[:0] if at else [0], piece, [0, 0])).astype(np.uint32))
+            lead, tail = [0] * (at == 0), [0, 0] * (at + _BLOCK >= len(codes))
+            parts.append(np.concatenate((lead, piece, tail)).astype(np.uint32))
             owners.append(k)
             size += len(parts[-1])
             if size >= _BLOCK:
@@ -79,17 +82,21 @@ def _blocks(texts: Iterator[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
 
 
 def _joined(parts, owners):
-    starts = np.cumsum([0] + [len(p) for p in parts[:-1]])
-    return np.concatenate(parts), starts, np.array(owners)
+    ends = np.cumsum([len(p) for p in parts])
+    found = _buckets(np.concatenate(parts))
+    cut = np.concatenate((ends[:-1] - 2, ends[:-1] - 1))
+    for idx in found:
+        idx[cut] = _NONE
+    return found, np.concatenate(([0], ends[:-1])), np.array(owners)
 
 
 def ngram_counts(texts: list[str]) -> np.ndarray:
     """How often each bucket occurs in the texts."""
-    total = np.zeros(1 << BITS, dtype=np.int64)
-    for folded, _, _ in _blocks(iter(texts)):
-        for idx in _buckets(folded):
-            total += np.bincount(idx, minlength=1 << BITS)
-    return total
+    total = np.zeros(_NONE + 1, dtype=np.int64)
+    for found, _, _ in _blocks(iter(texts)):
+        for idx in found:
+            total += np.bincount(idx, minlength=_NONE + 1)
+    return total[:_NONE]
 
 
 def train(
@@ -158,11 +165,11 @@ def train(
 def scores(model: Model, texts: list[str]) -> np.ndarray:
     """Log joint probability, texts x languages."""
     out = np.tile(model.log_prior, (len(texts), 1))
-    for folded, starts, owners in _blocks(iter(texts)):
-        for idx in _buckets(folded):
-            heads = np.minimum(starts, len(idx) - 1)
-            for k, row in enumerate(model.log_prob):
-                np.add.at(out[:, k], owners, np.add.reduceat(row[idx], heads, dtype=np.float64))
+    rows = [np.append(row, np.float32(0)) for row in model.log_prob]  # _NONE adds nothing
+    for found, starts, owners in _blocks(iter(texts)):
+        for idx in found:
+            for k, row in enumerate(rows):
+                np.add.at(out[:, k], owners, np.add.reduceat(row[idx], starts, dtype=np.float64))
     return out
 
 
