@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,9 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
-_BATCH_BYTES = 8 << 20
-_KNOWN_WORDS = 750_000
+_BATCH_BYTES = 2 << 20
+_AT_ONCE = 1024
+_KNOWN_WORDS = 500_000
 _ENCODERS: dict = {}
 
 
@@ -61,12 +63,16 @@ class _Encoder:
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
-        found = [
-            x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
-        return flat, sizes
+        sizes, flat = [], array("I")
+        for at in range(0, len(texts), _AT_ONCE):  # the library's results are large objects
+            some = self.tokenizer.encode_batch_fast(texts[at : at + _AT_ONCE], add_special_tokens=False)
+            for found in some:
+                ids = found.ids
+                sizes.append(len(ids))
+                flat.extend(ids)
+        return np.frombuffer(flat, dtype=np.uint32) if flat else np.zeros(0, np.uint32), np.array(
+            sizes, dtype=np.int64
+        )
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_word:
