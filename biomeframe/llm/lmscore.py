@@ -23,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BinaryType, DoubleType, IntegerType, LongType, StructField, StructType,
+    BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
-from biomeframe.llm.common import shipped, words
+from biomeframe.llm.common import shipped
 from biomeframe.session import stored
 
 #: A token is class * PLACES + place; classes hold words of like frequency. Token 0 is
@@ -44,6 +44,7 @@ STEP = 512
 FAN = 32
 SEED = 7
 _BLOCK = 2048
+_DOCS = 1024
 _SHAPES = {
     "embed": (TOKENS + 1, WIDTH),
     "w1": (2 * SIDE * WIDTH, HIDDEN),
@@ -178,11 +179,25 @@ def _groups(docs: Iterator[np.ndarray], size: int) -> Iterator[list[np.ndarray]]
 
 
 def vocabulary(docs: DataFrame, text: str) -> tuple[list[str], np.ndarray]:
-    """The most frequent words of all documents, ties by the word, and counts of all tokens."""
+    """The most frequent words of all documents, ties by the word, and counts of all tokens.
+
+    Words are first counted in Arrow, some documents at a time, so that Spark sums
+    one row for each distinct word of these.
+    """
+    shipped(docs.sparkSession)
+    schema = StructType([StructField("word", StringType()), StructField("n", LongType())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _DOCS):
+                some = pc.ascii_split_whitespace(whole.column(0).slice(at, _DOCS))
+                found = pc.value_counts(some.flatten())
+                kept = found.filter(pc.not_equal(found.field(0), ""))
+                yield pa.RecordBatch.from_arrays([kept.field(0), kept.field(1)], names=schema.names)
+
+    texts = docs.select(F.coalesce(F.lower(text), F.lit("")).alias("text"))
     counted = stored(
-        docs.select(F.explode(words(F.lower(text))).alias("word"))
-        .groupBy("word").agg(F.count(F.lit(1)).alias("n")),
-        "words",
+        texts.mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n")), "words"
     )
     top = counted.orderBy(F.desc("n"), "word").limit(TOKENS - 1).collect()
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
@@ -201,8 +216,8 @@ def encoded(docs: DataFrame, vocab: list[str], doc_id: str, text: str) -> DataFr
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, _DOCS):
+                batch = whole.slice(at, _DOCS)
                 split = pc.ascii_split_whitespace(batch.column(1))
                 coded = split.flatten().dictionary_encode()
                 # The empty piece beside white space at an end is no word.
