@@ -11,10 +11,13 @@ from biomeframe.operators.skew import salted_join
 
 def latest_per_key(cache: DataFrame, key: str = "seq_md5", value: str = "result",
                    timestamp: str = "timestamp") -> DataFrame:
-    """The newest entry of each key; rows without a time come last."""
+    """The newest entry of each key; rows without a time come last.
+
+    Of equally new entries a hash of the value decides, so repeats give the same.
+    """
     time = F.coalesce(F.col(timestamp), F.lit(float("-inf")).cast("double"))
     return cache.groupBy(key).agg(
-        F.max_by(F.col(value), time).alias(value), F.max(timestamp).alias(timestamp)
+        F.max_by(F.col(value), F.struct(time, F.xxhash64(value))).alias(value), F.max(timestamp).alias(timestamp)
     )
 
 

@@ -15,7 +15,6 @@ from biomeframe.functions.text import (
     shorten,
 )
 from biomeframe.operators.hits import high_quality, top_hits
-from biomeframe.operators.skew import fits_broadcast
 
 KINDS = {
     "amr": (RESISTANCE_CLASSES, "antimicrobial resistance genes", "resistance_classes"),
@@ -52,69 +51,60 @@ def category_members(classified: DataFrame) -> DataFrame:
     )
 
 
-def category_report(hits: DataFrame, kind: str, max_members: int = 100_000) -> dict[str, DataFrame]:
-    """The report of one scan: ``summary``, ``counts``, ``members``, ``top_hits``.
+def category_report(hits: DataFrame, kind: str) -> dict[str, DataFrame]:
+    """The report of one scan, of one shape at any size.
 
-    ``document`` is added while the members are few enough for one JSON
-    document, which is counted; larger reports are read from ``members``.
-    A scan without hits gives zeros.
+    ``summary``, ``counts``, ``members`` and ``top_hits`` are frames.
+    ``document`` is one JSON row with the summary, the total, the count of each
+    category and the ten best hits; ``member_lines`` has the members as JSON,
+    one line each, to be written in the order of (category, ord). A scan
+    without hits gives zeros.
     """
     dictionary, label, field = KINDS[kind]
     classified = classify_hits(hits, dictionary)
     members = category_members(classified)
-    best = top_hits(classified, 10).select("sseqid", "pident", "evalue", "stitle")
+    counts = category_counts(classified)
+    best = top_hits(classified, 10)
     summary = classified.agg(F.count(F.lit(1)).alias("total_hits")).select(
         F.when(F.col("total_hits") == 0, F.lit(f"No {label} detected"))
         .otherwise(F.format_string(f"Detected %d high-confidence {label}", "total_hits"))
         .alias("summary"),
         "total_hits",
     )
-    out = {
+    per_category = counts.agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("category", "n")))).alias("x")
+    )
+    record = F.struct("sseqid", "pident", "evalue", "stitle").alias("r")
+    first = best.agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct((-F.col("bitscore")).alias("s"), "ord", record))),
+            lambda x: x["r"],
+        ).alias("x")
+    )
+    document = summary.select(
+        F.to_json(
+            F.struct(
+                "summary",
+                "total_hits",
+                per_category.scalar().alias(field),
+                first.scalar().alias("top_hits"),
+            )
+        ).alias("json")
+    )
+    line = F.to_json(F.struct("category", "gene", "identity", "evalue", "description"))
+    return {
         "summary": summary,
-        "counts": category_counts(classified),
+        "counts": counts,
         "members": members,
-        "top_hits": best,
+        "top_hits": best.select("sseqid", "pident", "evalue", "stitle"),
+        "document": document,
+        "member_lines": members.select("category", "ord", line.alias("json")),
     }
-    if fits_broadcast(members, max_members):
-        record = F.struct("gene", "identity", "evalue", "description")
-        listed = members.groupBy("category").agg(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("ord", record.alias("r")))), lambda x: x["r"]
-            ).alias("m")
-        )
-        nested = listed.agg(
-            F.map_from_entries(F.collect_list(F.struct("category", "m"))).alias("x")
-        )
-        top = top_hits(classified, 10).agg(
-            F.transform(
-                F.sort_array(
-                    F.collect_list(
-                        F.struct(
-                            (-F.col("bitscore")).alias("s"),
-                            "ord",
-                            F.struct("sseqid", "pident", "evalue", "stitle").alias("r"),
-                        )
-                    )
-                ),
-                lambda x: x["r"],
-            ).alias("x")
-        )
-        out["document"] = summary.select(
-            F.to_json(
-                F.struct(
-                    "summary",
-                    "total_hits",
-                    nested.scalar().alias(field),
-                    top.scalar().alias("top_hits"),
-                )
-            ).alias("json")
-        )
-    return out
 
 
 def top_factor_table(hits: DataFrame, n: int = 15, ties: tuple[str, ...] = ("ord",)) -> DataFrame:
-    """Printed columns of the best hits: identity to one digit, short texts."""
-    return top_hits(hits, n, ties).select(
+    """Printed columns of the best high-quality hits: identity to one digit, short texts."""
+    return top_hits(high_quality(hits), n, ties).select(
         F.col("sseqid").alias("gene_id"),
         F.bround("pident", 1).alias("identity_pct"),
         fmt_sci("evalue").alias("e_value"),

@@ -13,6 +13,8 @@ ARTIFACT_TERMS = {
     "quality": ["length", "gc", "quality", "summary"],
 }
 
+DASHBOARD = "analysis_dashboard.html"
+
 # Files the analysis summary looks for.
 KEY_ARTIFACTS = [
     "taxonomy_overview.html",
@@ -36,7 +38,11 @@ def annotation_stats(gff: DataFrame, contigs: DataFrame) -> DataFrame:
 
 
 def artifact_groups(manifest: DataFrame) -> DataFrame:
-    """One row per file and group it belongs to; ``other`` if to none."""
+    """One row per HTML report and group it belongs to; ``other`` if to none.
+
+    Other files are no reports, and the dashboard does not list itself.
+    """
+    reports = manifest.filter(F.col("name").endswith(".html") & (F.col("name") != DASHBOARD))
     tags = []
     for tag, terms in ARTIFACT_TERMS.items():
         hit = F.lit(False)
@@ -45,7 +51,7 @@ def artifact_groups(manifest: DataFrame) -> DataFrame:
         tags.append(F.when(hit, tag))
     found = F.array_compact(F.array(*tags))
     groups = F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("other")))
-    return manifest.withColumn("group", F.explode(groups))
+    return reports.withColumn("group", F.explode(groups))
 
 
 def report_counts(manifest: DataFrame) -> DataFrame:

@@ -165,8 +165,8 @@ def similarity_search(
     max_evalue: float = 1e-5,
     strands: bool = True,
     protein: bool = False,
-    mask: bool = True,
-    one_per_subject: bool = True,
+    mask: bool = False,
+    one_per_subject: bool = False,
     scoring: Scoring | None = None,
 ) -> DataFrame:
     """Hits of ``query (id, seq, ord)`` in ``ref (id, description, seq)``.
@@ -178,14 +178,16 @@ def similarity_search(
 
     All seeds count; there is no limit per seed, query or subject. Copies of a
     sequence are searched once and written out for every id at the end. With
-    ``mask`` the references give no seeds of low complexity, as search tools
-    do by default; segments still run through such stretches. Frequent seeds
+    ``mask`` nucleotide references give no seeds of low complexity; segments
+    still run through such stretches. With ``one_per_subject`` only the best
+    segment of a pair is kept. Both are off by default. Frequent seeds
     are spread over a grid of tasks.
 
     Output: the 13 hit columns, ``strand`` and the query's ``ord``.
     """
     scoring = scoring or (PROTEIN if protein else NUCLEOTIDE)
-    mask = mask and not protein
+    if mask and protein:
+        raise ValueError("masking is for nucleotide references")
     if strands and not protein:
         both = F.array(
             F.struct(F.lit("+").alias("strand"), F.upper("seq").alias("seq")),

@@ -21,17 +21,16 @@ from biomeframe.operators.skew import (
 )
 from biomeframe.session import stored
 
-MAX_ROUNDS = 7
-
-
 def _root_paths(nodes: DataFrame) -> DataFrame:
     """``(taxid, path)`` with the ids from the root down, by pointer doubling.
 
     Each round doubles the known part of every path, so a tree of depth d
-    takes log2(d) joins; each round is stored.
+    takes log2(d) joins; each round is stored. No path is longer than there
+    are nodes: more rounds than that allows mean a cycle.
     """
+    rounds = max(nodes.count(), 1).bit_length() + 1
     paths = nodes.select("taxid", F.array("taxid").alias("path"), F.col("parent").alias("top"))
-    for _ in range(MAX_ROUNDS):
+    for _ in range(rounds):
         up = paths.select(
             F.col("taxid").alias("top"), F.col("path").alias("up_path"), F.col("top").alias("up_top")
         )
@@ -44,7 +43,7 @@ def _root_paths(nodes: DataFrame) -> DataFrame:
         )
         if paths.filter(F.col("top").isNotNull()).limit(1).count() == 0:
             return paths.select("taxid", "path")
-    raise ValueError(f"the taxonomy is deeper than {2 ** MAX_ROUNDS} or has a cycle")
+    raise ValueError("the taxonomy has a cycle")
 
 
 def taxonomy_tree(nodes: DataFrame) -> DataFrame:
@@ -243,18 +242,28 @@ def kmer_distribution(assignments: DataFrame) -> DataFrame:
 
 
 def reestimate_abundance(
-    report: DataFrame, kmer_distr: DataFrame, level: str = "S", threshold: int = 10
+    report: DataFrame, kmer_distr: DataFrame, tree: DataFrame, level: str = "S", threshold: int = 10
 ) -> DataFrame:
     """Move reads held by ancestors down to the taxa of one level.
 
     A taxon with at least ``threshold`` clade reads takes part with weight
-    clade reads / P(own | taxon). The direct reads of each node above are
-    split in proportion to P(node | taxon) x weight. Reads of nodes without a
-    taking-part taxon below them are left out. Estimates stay fractional.
+    clade reads / P(own clade | taxon), its own clade being the taxon and all
+    below it, whose reads its clade count already holds. The direct reads of
+    each proper ancestor are split in proportion to P(node | taxon) x weight.
+    Reads of nodes without a taking-part taxon below them are left out, as are
+    shares of nodes elsewhere in the tree. Estimates stay fractional.
     """
-    own = kmer_distr.filter(F.col("species") == F.col("node")).select(
-        F.col("species").alias("taxid"), F.col("p").alias("p_own")
-    )
+    place = tree.select("taxid", "pre", "last")
+
+    def at(side: str) -> DataFrame:
+        return place.select(
+            F.col("taxid").alias(side), F.col("pre").alias(f"{side}_pre"), F.col("last").alias(f"{side}_last")
+        )
+
+    shares = kmer_distr.filter(F.col("p") > 0).join(at("species"), "species").join(at("node"), "node")
+    below = (F.col("node_pre") >= F.col("species_pre")) & (F.col("node_pre") <= F.col("species_last"))
+    over = (F.col("node_pre") < F.col("species_pre")) & (F.col("node_last") >= F.col("species_last"))
+    own = shares.filter(below).groupBy(F.col("species").alias("taxid")).agg(F.sum("p").alias("p_own"))
     species = (
         report.filter((F.col("rank") == level) & (F.col("clade_reads") >= threshold))
         .join(own, "taxid", "left")
@@ -269,7 +278,7 @@ def reestimate_abundance(
         F.col("taxid").alias("node"), F.col("taxon_reads").alias("direct")
     )
     pull = (
-        kmer_distr.filter((F.col("species") != F.col("node")) & (F.col("p") > 0))
+        shares.filter(over)
         .join(species.select(F.col("taxid").alias("species"), "weight"), "species")
         .join(above, "node")
         .select("species", "node", "direct", (F.col("p") * F.col("weight")).alias("pull"))

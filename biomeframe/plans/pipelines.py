@@ -11,7 +11,7 @@ from biomeframe.operators import cache as cache_ops
 from biomeframe.operators import hits as hit_ops
 from biomeframe.operators import sequences as seq_ops
 from biomeframe.operators import taxonomy as tax_ops
-from biomeframe.operators.categories import category_report
+from biomeframe.operators.categories import category_report, top_factor_table
 from biomeframe.operators.classify import classify_reads
 from biomeframe.operators.orfs import orf_scan, orf_sequences
 from biomeframe.operators.search import (
@@ -48,7 +48,7 @@ def reads_to_abundance(
         shares = report.select("name", (F.col("percentage") / 100).alias("fraction_total_reads"), "ord")
     else:
         plain = report.withColumn("name", F.trim("name"))
-        est = tax_ops.reestimate_abundance(plain, kmer_distr, level, threshold)
+        est = tax_ops.reestimate_abundance(plain, kmer_distr, tree, level, threshold)
         out["abundance"] = tax_ops.bracken_table(est)
         out["abundance_report"] = tax_ops.bracken_clade_report(est, tree)
         shares = est.join(
@@ -62,7 +62,8 @@ def reads_to_abundance(
 def hits_to_results(work: DataFrame, hits: DataFrame, now: float) -> DataFrame:
     """Nest search hits into one result per searched sequence.
 
-    A result carries at most the subjects that the hit limit leaves.
+    A result is one value and holds all hits of its sequence; set a hit limit
+    where a sequence may have millions.
     """
     record = F.struct(
         F.col("sseqid").alias("hit_id"),
@@ -113,21 +114,22 @@ def contigs_to_organisms(
     k: int = 28,
     max_sequences: int | None = None,
     min_len: int = 50,
-    hitlist: int = 10,
+    hitlist: int | None = None,
 ) -> dict[str, DataFrame]:
     """FASTA analysis: search what the cache lacks, then count organisms.
 
-    ``cache`` is ``(seq_md5, result, timestamp)``. The first-n limit is part of
-    the interface and off by default. New results are returned as ``to_cache``.
+    ``cache`` is ``(seq_md5, result, timestamp)``. The first-n limit and the limit
+    of subjects (``hitlist``) are part of the interface and off by default. New results are returned as ``to_cache``.
     """
     chosen = contigs if max_sequences is None else seq_ops.take_first(contigs, max_sequences)
     chosen = seq_ops.min_length(chosen, min_len)
     known = cache_ops.latest_per_key(cache_ops.fresh_entries(cache, now))
     found, work = cache_ops.lookup_cache(chosen, known.select("seq_md5", "result"))
     work = stored(work, "search-work")
-    hits = stored(similarity_search(work, ref, k, one_per_subject=False), "search-hits")
-    limited = hit_ops.hit_limit(hits.withColumn("_q", F.col("ord").cast("string")).drop("qseqid")
-                                .withColumnRenamed("_q", "qseqid"), hitlist)
+    limited = stored(similarity_search(work, ref, k), "search-hits")
+    if hitlist is not None:
+        named = limited.drop("qseqid").withColumn("qseqid", F.col("ord").cast("string"))
+        limited = hit_ops.hit_limit(named, hitlist)
     fresh = stored(hits_to_results(work, limited, now), "search-results")
     keyed = seq_ops.with_seq_key(chosen).select("id", "ord", "seq_md5", F.length("seq").alias("n"))
     columns = ["hits", "timestamp", "error"]
@@ -159,6 +161,7 @@ def scan_contigs(
     return {
         "hits": best,
         **category_report(best, kind),
+        "top_factors": top_factor_table(best),
         "histogram": hit_ops.identity_histogram(good),
         "scatter": hit_ops.quality_scatter(good),
     }

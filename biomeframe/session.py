@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def build_session(app: str = "biomeframe", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are tuned for.
 
@@ -35,17 +40,20 @@ def build_session(app: str = "biomeframe", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, from ``spark.checkpoint.dir``.
 
-    A local master may fall back to a temporary folder; a cluster may not,
-    because its executors would each write to their own disk.
+    On a local master without that setting, a temporary folder of this process,
+    which is removed at its end. A cluster has no such fallback, because its
+    executors would each write to their own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master, app = spark.sparkContext.master, spark.sparkContext.applicationId
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="biomeframe-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if app not in _FALLBACK:
+        _FALLBACK[app] = tempfile.mkdtemp(prefix="biomeframe-")
+        atexit.register(shutil.rmtree, _FALLBACK[app], ignore_errors=True)
+    return _FALLBACK[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

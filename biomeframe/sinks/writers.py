@@ -35,8 +35,13 @@ def write_fastq(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def report_lines(report: DataFrame) -> DataFrame:
-    """Six-column lines with a two-digit percentage; ``ord`` gives the order."""
+    """Six-column lines with a two-digit percentage; ``ord`` gives the order.
+
+    Unclassified reads have no taxid, which is printed as 0.
+    """
     cells = [fmt_fixed("percentage")] + [F.col(c).cast("string") for c in REPORT_COLUMNS[1:]]
+    cells[4] = F.coalesce(cells[4], F.lit("0"))
+    cells = [F.coalesce(c, F.lit("")) for c in cells]
     return report.select(F.concat_ws("\t", *cells).alias("value"), "ord")
 
 

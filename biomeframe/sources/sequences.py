@@ -30,9 +30,10 @@ def read_fastq(spark: SparkSession, path, strict: bool = True) -> DataFrame:
 
     Lines are numbered first: a quality line may begin with ``@``, so the text
     cannot be cut at that sign. ``strict`` stops on a record whose lines do not
-    fit together; otherwise such records are left out.
+    fit together; otherwise such records are left out. Reads of no letters are
+    reads; blank lines after the last record are not.
     """
-    lines = numbered_records(spark, path).filter(F.trim(F.col("value")) != "")
+    lines = numbered_records(spark, path)
     place = F.col("n") % 4
     record = lines.groupBy("file_rank", F.floor(F.col("n") / 4).cast("long").alias("rec")).agg(
         *[
@@ -40,6 +41,9 @@ def read_fastq(spark: SparkSession, path, strict: bool = True) -> DataFrame:
             for i, name in enumerate(["head", "seq", "plus", "qual"])
         ]
     )
+    # Reads may be empty; four blank lines or fewer are the end of a file.
+    blank = F.trim(F.concat_ws("", "head", "seq", "plus", "qual")) == ""
+    record = record.filter(~blank)
     fits = F.coalesce(
         F.col("head").startswith("@")
         & F.col("plus").startswith("+")

@@ -47,9 +47,13 @@ def _split_line(lines: DataFrame, schema: str, order: bool = True) -> DataFrame:
 
 
 def read_report(spark: SparkSession, path) -> DataFrame:
-    """Clade report, six columns without header; keeps the indented names."""
+    """Clade report, six columns without header; keeps the indented names.
+
+    The taxid 0 of the row of unclassified reads becomes null.
+    """
     lines = numbered_records(spark, path).filter(F.trim(F.col("value")) != "")
-    return _split_line(lines, REPORT_SCHEMA)
+    none = (F.col("rank") == "U") & (F.col("taxid") == 0)
+    return _split_line(lines, REPORT_SCHEMA).withColumn("taxid", F.when(~none, F.col("taxid")))
 
 
 def read_bracken(spark: SparkSession, path) -> DataFrame:
@@ -91,20 +95,25 @@ def read_diamond(spark: SparkSession, path, columns: int = 7, ordered: bool = Tr
 
 
 def read_flagged_hits(spark: SparkSession, path) -> DataFrame:
-    """Hits with a header line, as they may carry ``Pathogenic`` or ``staxids``.
+    """Hits with a header line, as they may carry ``Pathogenic`` or ``staxids``, and ``ord``.
 
-    A file that holds only a ``#`` note gives an empty frame.
+    Every file has the same header; a file that holds only a ``#`` note gives
+    an empty frame.
     """
-    reader = (
-        spark.read.option("header", True).option("sep", "\t").option("quote", "")
-        .option("comment", "#")
+    lines = numbered_records(spark, path).filter(
+        (F.trim(F.col("value")) != "") & ~F.col("value").startswith("#")
     )
-    df = reader.csv(path)
+    first = spark.read.text(path).filter(
+        (F.trim(F.col("value")) != "") & ~F.col("value").startswith("#")
+    ).first()
+    header = first[0] if first else ""
     known = {f.name: f.dataType for f in T.StructType.fromDDL(HITS_13).fields}
-    return df.select(
-        *[F.col(f"`{c}`").try_cast(known[c]).alias(c) if c in known else F.col(f"`{c}`")
-          for c in df.columns]
-    )
+    cells = F.split("value", "\t", -1)
+    columns = []
+    for i, name in enumerate(header.rstrip("\r").split("\t") if header else []):
+        cell = F.nullif(F.regexp_replace(F.get(cells, F.lit(i)), "\r$", ""), F.lit(""))
+        columns.append((cell.try_cast(known[name]) if name in known else cell).alias(name))
+    return lines.filter(F.col("value") != header).select(*columns, file_ord().alias("ord"))
 
 
 def read_gff(spark: SparkSession, path) -> DataFrame:
@@ -133,23 +142,30 @@ def read_gff(spark: SparkSession, path) -> DataFrame:
 
 
 def read_annotation(spark: SparkSession, path) -> DataFrame:
-    return spark.read.schema(ANNOTATION_SCHEMA).option("header", True).option("sep", "\t").csv(path)
+    return (
+        spark.read.schema(ANNOTATION_SCHEMA).option("header", True).option("sep", "\t")
+        .option("quote", "").csv(path)
+    )
 
 
 def read_blast_results(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
-    """Search results as one JSON array per file, or one result per line."""
-    return spark.read.schema(RESULT_SCHEMA).option("multiLine", multiline).json(path)
+    """Search results as one JSON array per file, or one result per line.
+
+    ``ord`` is unique and grows along each file.
+    """
+    rows = spark.read.schema(RESULT_SCHEMA).option("multiLine", multiline).json(path)
+    return rows.withColumn("ord", F.monotonically_increasing_id())
 
 
 def load_hit_cache(spark: SparkSession, path) -> DataFrame:
-    """``(seq_md5, result)`` from the cache table, or from a JSON object.
+    """``(seq_md5, result, timestamp)`` from the cache table, or from a JSON object.
 
     A missing or unreadable JSON cache is an empty cache. The JSON form holds
     one document per file and is meant for the first import; after that the
     Parquet table of ``save_hit_cache`` is read.
     """
     result = T.StructType.fromDDL(RESULT_SCHEMA).simpleString()
-    empty = spark.createDataFrame([], f"seq_md5 string, result {result}")
+    empty = spark.createDataFrame([], f"seq_md5 string, result {result}, timestamp double")
     if not str(path).endswith(".json"):
         try:
             return spark.read.parquet(path)
@@ -164,7 +180,9 @@ def load_hit_cache(spark: SparkSession, path) -> DataFrame:
             return empty
         raise
     parsed = F.from_json("value", f"map<string,{result}>")
-    return text.select(F.explode(parsed).alias("seq_md5", "result"))
+    return text.select(F.explode(parsed).alias("seq_md5", "result")).withColumn(
+        "timestamp", F.col("result.timestamp")
+    )
 
 
 def read_taxonomy(spark: SparkSession, nodes, names) -> DataFrame:
@@ -195,4 +213,6 @@ def read_taxonomy(spark: SparkSession, nodes, names) -> DataFrame:
 
 def read_id_map(spark: SparkSession, path) -> DataFrame:
     """``(sseqid, taxid)`` from a two-column table."""
-    return spark.read.schema("sseqid string, taxid long").option("sep", "\t").csv(path)
+    return spark.read.schema("sseqid string, taxid long").option("sep", "\t").option(
+        "quote", ""
+    ).csv(path)

@@ -273,12 +273,36 @@ def vf_categories(spark, d):
 
 @query(
     "category_report",
-    HG + "SELECT CASE WHEN count(*) = 0 THEN 'No antimicrobial resistance genes detected' ELSE "
-    "'Detected ' || count(*) || ' high-confidence antimicrobial resistance genes' END AS summary, "
-    "count(*) AS total_hits FROM good",
+    _with(sd.HITS, GOOD, GENES) + f", c AS (SELECT {_case(ft.RESISTANCE_CLASSES)} AS category, * FROM genes) "
+    "SELECT 'member' AS part, category, CAST(sseqid AS VARCHAR) AS gene, pident, evalue, title AS text, "
+    "NULL::BIGINT AS n FROM c UNION ALL "
+    "SELECT 'count', category, NULL, NULL, NULL, NULL, count(*) FROM c GROUP BY category UNION ALL "
+    "SELECT 'summary', NULL, NULL, NULL, NULL, CASE WHEN count(*) = 0 THEN 'No antimicrobial resistance genes "
+    "detected' ELSE 'Detected ' || count(*) || ' high-confidence antimicrobial resistance genes' END, count(*) FROM c",
 )
 def category_report(spark, d):
-    return cat.category_report(_gene_hits(spark, d), "amr", max_members=1000)["summary"]
+    """The document's summary and counts, and all member lines, read back from their JSON."""
+    out = cat.category_report(_gene_hits(spark, d), "amr")
+    doc = out["document"].select(
+        F.from_json("json", "summary string, total_hits long, resistance_classes map<string, long>").alias("j")
+    )
+    names = ["part", "category", "gene", "pident", "evalue", "text", "n"]
+    types = ["string", "string", "string", "double", "double", "string", "long"]
+
+    def rows(df, part, **cells):
+        cells["part"] = F.lit(part)
+        return df.select(*[cells.get(c, F.lit(None)).cast(t).alias(c) for c, t in zip(names, types)])
+
+    m = out["member_lines"].select(F.from_json(
+        "json", "category string, gene string, identity double, evalue double, description string"
+    ).alias("j"))
+    counts = doc.select(F.explode("j.resistance_classes").alias("category", "n"))
+    return (
+        rows(m, "member", category=F.col("j.category"), gene=F.col("j.gene"), pident=F.col("j.identity"),
+             evalue=F.col("j.evalue"), text=F.col("j.description"))
+        .unionByName(rows(counts, "count", category=F.col("category"), n=F.col("n")))
+        .unionByName(rows(doc, "summary", text=F.col("j.summary"), n=F.col("j.total_hits")))
+    )
 
 
 TIES = ("qseqid", "sseqid", "pident", "evalue")
@@ -294,16 +318,17 @@ def top_hits(spark, d):
 
 @query(
     "top_factor_table",
-    H + "SELECT sseqid AS gene_id, pident AS identity_pct, CASE WHEN length(stitle) > 8 THEN "
-    f"substring(stitle, 1, 8) || '...' ELSE stitle END AS description FROM hits {TOP_ORDER} LIMIT 15",
+    HG + "SELECT sseqid AS gene_id, pident AS identity_pct, format('{:.2e}', evalue) AS e_value, "
+    "CASE WHEN length(stitle) > 50 THEN substring(stitle, 1, 50) || '...' ELSE stitle END AS description "
+    f"FROM good {TOP_ORDER} LIMIT 15",
 )
 def top_factor_table(spark, d):
-    t = oh.top_hits(sd.hits(spark, d), 15, TIES)
-    return t.select(
-        F.col("sseqid").alias("gene_id"),
-        F.bround("pident", 1).alias("identity_pct"),
-        ft.shorten("stitle", 8).alias("description"),
-    )
+    return cat.top_factor_table(sd.hits(spark, d), 15, TIES)
+
+
+@query("top_columns", H + "SELECT sseqid, pident, evalue, stitle FROM hits")
+def top_columns(spark, d):
+    return oh.top_columns(sd.hits(spark, d))
 
 
 @query("head_rows", H + "SELECT qseqid, sseqid, pident, bitscore FROM hits ORDER BY ord, qseqid, sseqid, pident, bitscore LIMIT 20")
@@ -776,9 +801,10 @@ CALLS = _with(sd.PLACES, sd.PLACE_CLOSURE, sd.ORDER_TAXA)
 
 @query(
     "taxonomy_tree",
-    P + "SELECT taxid, parent, rank, name, CAST(CASE rank WHEN 'R' THEN 0 WHEN 'G' THEN 1 ELSE 2 END AS INTEGER) AS depth, "
-    "row_number() OVER (ORDER BY CASE rank WHEN 'R' THEN 0 WHEN 'G' THEN taxid ELSE parent END, taxid) - 1 AS pre, "
-    "(SELECT count(*) FROM place_up u WHERE u.ancestor = places.taxid) AS size FROM places",
+    P + "SELECT taxid, parent, rank, name, CAST(CASE rank WHEN 'R' THEN 0 WHEN 'G' THEN 1 WHEN 'S' THEN 2 ELSE 3 END AS INTEGER) AS depth, "
+    "row_number() OVER (ORDER BY path) - 1 AS pre, "
+    "(SELECT count(*) FROM place_up u WHERE u.ancestor = places.taxid) AS size FROM places "
+    "JOIN (SELECT taxid, list(ancestor ORDER BY dist DESC) AS path FROM place_up GROUP BY taxid) USING (taxid)",
 )
 def taxonomy_tree(spark, d):
     return tx.taxonomy_tree(sd.place_nodes(spark, d)).select(
@@ -815,41 +841,44 @@ def clade_report(spark, d):
 @query(
     "rank_profile",
     CALLED + "SELECT rank, count(*) AS taxa, CAST(sum(taxon_reads) AS BIGINT) AS taxon_reads, "
-    "CAST(sum(clade_reads) AS BIGINT) AS clade_reads FROM clades JOIN places USING (taxid) GROUP BY rank",
+    "CAST(sum(clade_reads) AS BIGINT) AS clade_reads FROM clades JOIN places USING (taxid) GROUP BY rank "
+    "UNION ALL SELECT 'U', 1, count(*), count(*) FROM calls WHERE taxid IS NULL",
 )
 def rank_profile(spark, d):
     r = tx.taxon_report(sd.order_taxa(spark, d), sd.place_tree(spark, d))
-    return tx.rank_profile(r.filter(F.col("taxid").isNotNull()))
+    return tx.rank_profile(r)
 
 
 @query(
     "report_file_tree",
     CALLED + "SELECT taxid, clade_reads, taxon_reads, parent AS parent_taxid, rank, name, "
-    "CAST(CASE rank WHEN 'R' THEN 0 WHEN 'G' THEN 1 ELSE 2 END AS INTEGER) AS depth "
-    "FROM clades JOIN places USING (taxid)",
+    "CAST(CASE rank WHEN 'R' THEN 0 WHEN 'G' THEN 1 WHEN 'S' THEN 2 ELSE 3 END AS INTEGER) AS depth "
+    "FROM clades JOIN places USING (taxid) UNION ALL "
+    "SELECT NULL, count(*), count(*), NULL, 'U', 'unclassified', 0 FROM calls WHERE taxid IS NULL",
 )
 def report_file_tree(spark, d):
     """Write the clade report as text, read it back, rebuild the tree."""
     tree = sd.place_tree(spark, d)
-    calls = sd.order_taxa(spark, d).filter(F.col("taxid").isNotNull())
+    calls = sd.order_taxa(spark, d)
     path = scratch_path(spark, "report")
     wr.write_report(tx.with_report_order(tx.taxon_report(calls, tree), tree), path)
     parsed = tx.parse_report_tree(st.read_report(spark, path))
     return parsed.select("taxid", "clade_reads", "taxon_reads", "parent_taxid", "rank", "name", "depth")
 
 
-# Share of each nation's customers by balance: kept, seen at the region, at the root.
+# Share of each nation's customers by balance: at the customer, kept, at the region, at the root.
 DISTR = (
     "distr AS (SELECT species, node, count(*) / sum(count(*)) OVER (PARTITION BY species) AS p FROM "
-    "(SELECT 100 + n_nationkey AS species, CASE WHEN c_acctbal >= 3000 THEN 100 + n_nationkey "
+    "(SELECT 100 + n_nationkey AS species, CASE WHEN c_acctbal >= 6000 THEN 1000 + c_custkey WHEN c_acctbal >= 3000 THEN 100 + n_nationkey "
     "WHEN c_acctbal >= 0 THEN 10 + n_regionkey ELSE 1 END AS node FROM customer JOIN nation "
     "ON c_nationkey = n_nationkey) GROUP BY 1, 2)"
 )
 ESTIMATE = (
     "sp AS (SELECT c.taxid, pl.name, clade_reads, clade_reads / p AS g FROM clades c JOIN places pl USING (taxid) "
-    "JOIN distr ON species = c.taxid AND node = c.taxid WHERE pl.rank = 'S' AND clade_reads >= 10), "
+    "JOIN (SELECT species, sum(p) AS p FROM distr JOIN place_up u ON node = u.taxid AND species = u.ancestor GROUP BY 1) o "
+    "ON o.species = c.taxid WHERE pl.rank = 'S' AND clade_reads >= 10), "
     "pull AS (SELECT species, node, p * g AS w, taxon_reads FROM distr JOIN sp ON species = sp.taxid "
-    "JOIN clades c ON c.taxid = node WHERE species <> node), "
+    "JOIN clades c ON c.taxid = node JOIN place_up u ON u.taxid = species AND u.ancestor = node AND u.dist > 0), "
     "added AS (SELECT species, sum(w / tot * taxon_reads) AS a FROM (SELECT *, sum(w) OVER (PARTITION BY node) AS tot "
     "FROM pull) GROUP BY species), "
     "est AS (SELECT name, taxid AS taxonomy_id, clade_reads AS kraken_assigned_reads, coalesce(a, 0) AS added, "
@@ -862,7 +891,8 @@ def _estimate(spark, d, tree):
     nation = sd.table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     own = (F.col("c_nationkey") + 100).cast("long")
     seen = (
-        F.when(F.col("c_acctbal") >= 3000, own)
+        F.when(F.col("c_acctbal") >= 6000, (F.col("c_custkey") + 1000).cast("long"))
+        .when(F.col("c_acctbal") >= 3000, own)
         .when(F.col("c_acctbal") >= 0, (F.col("n_regionkey") + 10).cast("long"))
         .otherwise(F.lit(1).cast("long"))
     )
@@ -870,7 +900,7 @@ def _estimate(spark, d, tree):
         own.alias("species"), seen.alias("taxid")
     )
     report = stored(tx.taxon_report(calls, tree), "report")
-    return tx.reestimate_abundance(report, tx.kmer_distribution(draws))
+    return tx.reestimate_abundance(report, tx.kmer_distribution(draws), tree)
 
 
 @query(
@@ -892,12 +922,14 @@ def reestimate_abundance(spark, d):
     "bracken_clade_report",
     _with(sd.PLACES, sd.PLACE_CLOSURE, sd.ORDER_TAXA, CLADES, DISTR, ESTIMATE)
     + "SELECT ancestor AS taxid, round(sum(estimate) * 100 / (SELECT sum(estimate) FROM est), 6) AS percentage, "
-    "CAST(floor(sum(estimate) + 1e-6) AS BIGINT) AS clade_reads FROM est JOIN place_up ON taxonomy_id = taxid GROUP BY 1",
+    "CAST(floor(sum(estimate) + 1e-6) AS BIGINT) AS clade_reads, "
+    "CAST(floor(coalesce(sum(estimate) FILTER (dist = 0), 0) + 1e-6) AS BIGINT) AS taxon_reads "
+    "FROM est JOIN place_up ON taxonomy_id = taxid GROUP BY 1",
 )
 def bracken_clade_report(spark, d):
     tree = sd.place_tree(spark, d)
     r = tx.bracken_clade_report(stored(_estimate(spark, d, tree), "est"), tree)
-    return r.select("taxid", F.round("percentage", 6).alias("percentage"), "clade_reads")
+    return r.select("taxid", F.round("percentage", 6).alias("percentage"), "clade_reads", "taxon_reads")
 
 
 CANON = "least({c}, translate(reverse({c}), 'ACGT', 'TGCA'))"
@@ -1047,10 +1079,10 @@ def fasta_round_trip(spark, d):
     )
 
 
-@query("fastq_round_trip", _with(sd.READS, sd.QUALS) + "SELECT id, seq, qual FROM fastq WHERE seq <> ''")
+@query("fastq_round_trip", _with(sd.READS, sd.QUALS) + "SELECT id, seq, qual FROM fastq")
 def fastq_round_trip(spark, d):
     path = scratch_path(spark, "fastq")
-    wr.write_fastq(sd.fastq(spark, d).filter(F.col("seq") != ""), path)
+    wr.write_fastq(sd.fastq(spark, d), path)
     return ss.read_fastq(spark, path).select("id", "seq", "qual")
 
 
@@ -1099,7 +1131,7 @@ def flagged_hits_file(spark, d):
 def results_file(spark, d):
     path = scratch_path(spark, "results")
     wr.write_json(sd.results(spark, d).drop("ord"), path)
-    r = st.read_blast_results(spark, path, multiline=False).withColumn("ord", F.lit(0).cast("long"))
+    r = st.read_blast_results(spark, path, multiline=False)
     return oh.organism_hit_counts(oh.explode_hits(r)).select("organism", "total_hits")
 
 
@@ -1197,9 +1229,11 @@ def taxonomy_files(spark, d):
 
 
 MANIFEST = (
-    "man AS (SELECT '/out/' || p_partkey || '/' || name AS path, name FROM (SELECT p_partkey, CASE "
+    "man0 AS (SELECT '/out/' || p_partkey || '/' || name AS path, name FROM (SELECT p_partkey, CASE "
     "WHEN p_brand = 'Brand#1' THEN 'taxonomy_overview.html' WHEN p_brand = 'Brand#2' THEN 'pathogen_summary.html' "
-    "WHEN p_brand = 'Brand#3' THEN 'prokka.txt' ELSE replace(p_name, ' ', '_') || '.html' END AS name FROM part))"
+    "WHEN p_brand = 'Brand#3' THEN 'prokka.txt' WHEN p_brand = 'Brand#4' THEN 'analysis_dashboard.html' "
+    "ELSE replace(p_name, ' ', '_') || '.html' END AS name FROM part)), "
+    "man AS (SELECT * FROM man0 WHERE name LIKE '%.html' AND name <> 'analysis_dashboard.html')"
 )
 TAGS_SQL = (
     "tags AS (SELECT path, name, t.tag FROM man JOIN (VALUES "
@@ -1215,6 +1249,7 @@ def _manifest(spark, d):
         F.when(brand == "Brand#1", "taxonomy_overview.html")
         .when(brand == "Brand#2", "pathogen_summary.html")
         .when(brand == "Brand#3", "prokka.txt")
+        .when(brand == "Brand#4", "analysis_dashboard.html")
         .otherwise(F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit(".html")))
     )
     return sd.table(spark, d, "part").select(
@@ -1264,11 +1299,6 @@ def missing_items(spark, d):
     return fe.missing_items(expected, present)
 
 
-@query("output_manifest")
-def output_manifest(spark, d):
-    return wr.output_manifest(spark, d)
-
-
 # --- streams -----------------------------------------------------------------
 
 

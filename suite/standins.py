@@ -190,16 +190,19 @@ def _results(spark, d) -> DataFrame:
 PLACES = (
     "places AS (SELECT 1::BIGINT AS taxid, NULL::BIGINT AS parent, 'R' AS rank, 'world' AS name "
     "UNION ALL SELECT 10 + r_regionkey, 1, 'G', r_name FROM region "
-    "UNION ALL SELECT 100 + n_nationkey, 10 + n_regionkey, 'S', n_name FROM nation)"
+    "UNION ALL SELECT 100 + n_nationkey, 10 + n_regionkey, 'S', n_name FROM nation "
+    "UNION ALL SELECT 1000 + c_custkey, 100 + c_nationkey, 'S1', c_name FROM customer)"
 )
 PLACE_CLOSURE = (
     "place_up AS (SELECT taxid, taxid AS ancestor, 0 AS dist FROM places "
     "UNION ALL SELECT taxid, parent, 1 FROM places WHERE parent IS NOT NULL "
     "UNION ALL SELECT c.taxid, p.parent, 2 FROM places c JOIN places p ON c.parent = p.taxid "
-    "WHERE p.parent IS NOT NULL)"
+    "WHERE p.parent IS NOT NULL UNION ALL SELECT c.taxid, g.parent, 3 FROM places c "
+    "JOIN places p ON c.parent = p.taxid JOIN places g ON p.parent = g.taxid WHERE g.parent IS NOT NULL)"
 )
 ORDER_TAXA = (
     "calls AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL "
+    "WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 1000 + c_custkey "
     "WHEN o_orderstatus = 'F' THEN 100 + n_nationkey WHEN o_orderstatus = 'O' THEN 10 + n_regionkey "
     "ELSE 1 END::BIGINT AS taxid FROM orders JOIN customer ON o_custkey = c_custkey "
     "JOIN nation ON c_nationkey = n_nationkey)"
@@ -223,7 +226,13 @@ def place_nodes(spark, d) -> DataFrame:
         "taxid", F.lit(None).cast("long").alias("parent"), F.lit("R").alias("rank"),
         F.lit("world").alias("name"),
     )
-    return root.unionByName(region).unionByName(nation)
+    customer = table(spark, d, "customer").select(
+        (F.col("c_custkey") + 1000).cast("long").alias("taxid"),
+        (F.col("c_nationkey") + 100).cast("long").alias("parent"),
+        F.lit("S1").alias("rank"),
+        F.col("c_name").alias("name"),
+    )
+    return root.unionByName(region).unionByName(nation).unionByName(customer)
 
 
 def place_tree(spark, d) -> DataFrame:
@@ -231,14 +240,15 @@ def place_tree(spark, d) -> DataFrame:
 
 
 def order_taxa(spark, d) -> DataFrame:
-    """One row per order: a nation, a region, the root, or nothing."""
-    orders = table(spark, d, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority")
+    """One row per order: a customer, a nation, a region, the root, or nothing."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     customer = table(spark, d, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
     )
     nation = table(spark, d, "nation").select("n_nationkey", "n_regionkey")
     taxid = (
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None))
+        .when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 2 == 0), F.col("o_custkey") + 1000)
         .when(F.col("o_orderstatus") == "F", F.col("n_nationkey") + 100)
         .when(F.col("o_orderstatus") == "O", F.col("n_regionkey") + 10)
         .otherwise(F.lit(1))

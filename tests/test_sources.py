@@ -78,6 +78,13 @@ def test_fastq(spark, tmp_path, small_splits, zipped):
     assert [r.ord for r in got] == list(range(400))
 
 
+def test_fastq_empty_reads_and_trailing_blanks(spark, tmp_path):
+    path = put(tmp_path / "empty.fastq", "@a\n\n+\n\n@b\nAC\n+\nII\n@c\n\n+\n\n\n\n")
+    for strict in (True, False):
+        got = ss.read_fastq(spark, path, strict=strict).orderBy("ord").collect()
+        assert [(r.id, r.seq, r.qual) for r in got] == [("a", "", ""), ("b", "AC", "II"), ("c", "", "")]
+
+
 def test_fastq_malformed(spark, tmp_path):
     path = put(tmp_path / "bad.fastq", "@a\nACGT\n+\nIIII\n@b\nACGT\n+\nII\n")
     with pytest.raises(Exception, match="malformed FASTQ record 1"):
@@ -213,7 +220,9 @@ def test_result_files_and_cache(spark, tmp_path):
     assert st.load_hit_cache(spark, str(tmp_path / "none")).count() == 0
     assert st.load_hit_cache(spark, put(tmp_path / "broken.json", "{oops")).count() == 0
     table = str(tmp_path / "cache")
-    timed = cache.withColumn("timestamp", F.col("result.timestamp"))
+    timed = cache
+    assert timed.first().timestamp == 5.0
+    assert st.load_hit_cache(spark, str(tmp_path / "none")).columns == timed.columns
     wr.save_hit_cache(timed, table)
     wr.save_hit_cache(timed.withColumn("timestamp", F.lit(9.0)), table)
     back = latest_per_key(st.load_hit_cache(spark, table)).collect()
@@ -222,15 +231,16 @@ def test_result_files_and_cache(spark, tmp_path):
 
 def test_manifest_and_report_files(spark, tmp_path):
     os.mkdir(tmp_path / "sub")
-    for name in ("taxonomy_overview.html", "sub/x.txt", "blast_summary.html"):
+    for name in ("taxonomy_overview.html", "sub/x.txt", "blast_summary.html", "sub/y.html", "analysis_dashboard.html"):
         (tmp_path / name).write_bytes(b"x" * 200_000)
     m = wr.output_manifest(spark, str(tmp_path))
     assert {(r.name, r.size_mb) for r in m.collect()} == {
-        ("taxonomy_overview.html", 0.2), ("x.txt", 0.2), ("blast_summary.html", 0.2)}
+        ("taxonomy_overview.html", 0.2), ("x.txt", 0.2), ("blast_summary.html", 0.2), ("y.html", 0.2),
+        ("analysis_dashboard.html", 0.2)}
     groups = {(r.name, r.group) for r in fe.artifact_groups(m).collect()}
-    assert groups == {("taxonomy_overview.html", "taxonomy"), ("x.txt", "other"),
+    assert groups == {("taxonomy_overview.html", "taxonomy"), ("y.html", "other"),
                       ("blast_summary.html", "pathogen"), ("blast_summary.html", "quality")}
     assert [r.name for r in fe.key_artifacts(m).collect()] == ["taxonomy_overview.html"]
-    assert [r.name for r in fe.ungrouped_artifacts(m).collect()] == ["x.txt"]
+    assert [r.name for r in fe.ungrouped_artifacts(m).collect()] == ["y.html"]
     expected = spark.createDataFrame([("db", "/nowhere", True), ("opt", "/none", False)], "label string, path string, required boolean")
     assert {(r.label, r.need) for r in fe.missing_items(expected, m).collect()} == {("db", "required"), ("opt", "optional")}

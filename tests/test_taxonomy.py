@@ -117,16 +117,37 @@ def test_reestimation_toy(spark):
     distr = spark.createDataFrame(
         [(2, 2, 0.5), (2, 1, 0.5), (3, 3, 0.75), (3, 1, 0.25), (4, 4, 1.0)], "species long, node long, p double"
     )
-    table = tx.bracken_table(tx.reestimate_abundance(report, distr)).orderBy("name").collect()
+    tree = build(spark, {1: None, 2: 1, 3: 1, 4: 1})
+    table = tx.bracken_table(tx.reestimate_abundance(report, distr, tree)).orderBy("name").collect()
     assert [(r.name, r.kraken_assigned_reads, r.added_reads, r.new_est_reads) for r in table] == [
         ("A", 30, 90, 120), ("B", 10, 10, 20)
     ]
     assert [r.fraction_total_reads for r in table] == [0.85714, 0.14286]
-    tree = build(spark, {1: None, 2: 1, 3: 1, 4: 1})
-    rolled = tx.bracken_clade_report(tx.reestimate_abundance(report, distr), tree).collect()
+    rolled = tx.bracken_clade_report(tx.reestimate_abundance(report, distr, tree), tree).collect()
     assert {r.taxid: (r.clade_reads, r.taxon_reads) for r in rolled} == {1: (140, 0), 2: (120, 120), 3: (20, 20)}
 
 
+def test_reads_below_a_species_count_once(spark):
+    """Reads of a strain are in the clade count of its species already."""
+    report = spark.createDataFrame(
+        [(1, "G", "genus", 140, 100), (2, "S", "A", 40, 20), (5, "S1", "A1", 20, 20)],
+        "taxid long, rank string, name string, clade_reads long, taxon_reads long",
+    )
+    distr = spark.createDataFrame(
+        [(2, 2, 0.4), (2, 5, 0.4), (2, 1, 0.2)], "species long, node long, p double"
+    )
+    tree = build(spark, {1: None, 2: 1, 5: 2})
+    row = tx.reestimate_abundance(report, distr, tree).first()
+    assert (row.added, row.estimate) == (100.0, 140.0)
+
+
+def test_deep_tree_and_cycle(spark):
+    deep = {1: None} | {k: k - 1 for k in range(2, 200)}
+    assert build(spark, deep).agg(F.max("depth")).first()[0] == 198
+    with pytest.raises(ValueError, match="cycle"):
+        build(spark, {1: None, 2: 3, 3: 2})
+
+
 def test_kmer_distribution(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 9), (1, None), (2, 9)], "species long, taxid long")
     assert {(r.species, r.node): round(r.p, 4) for r in tx.kmer_distribution(df).collect()} == {
