@@ -6,7 +6,8 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biomeframe.functions.sequence import (
@@ -17,12 +18,45 @@ from biomeframe.functions.sequence import (
     seq_key,
     translate_frames,
 )
-from biomeframe.operators.skew import hash_side, lookup_join, salted_join, salted_pair_join
+from biomeframe.operators.skew import BROADCAST_ROWS, hash_side, lookup_join, salted_join, salted_pair_join
 from biomeframe.session import stored
 
 PATHOGENIC, NON_PATHOGENIC, UNKNOWN = "Pathogenic", "Non-pathogenic", "Unknown"
 
 
+# Shares of the twenty amino acids in proteins, in per mille.
+AMINO_SHARES = {
+    "A": 78.05, "C": 19.25, "D": 53.64, "E": 62.95, "F": 38.56, "G": 73.77, "H": 21.99, "I": 51.42,
+    "K": 57.44, "L": 90.19, "M": 22.43, "N": 44.87, "P": 52.03, "Q": 42.64, "R": 51.29, "S": 71.20,
+    "T": 58.41, "V": 64.41, "W": 13.30, "Y": 32.16,
+}
+
+
+def karlin_altschul(match: int, mismatch: int, p_match: float) -> tuple[float, float]:
+    """Lambda and K of ungapped local scores for two-valued random scores.
+
+    Lambda solves p e^(lambda match) + (1 - p) e^(lambda mismatch) = 1; K follows
+    from the distributions of sums of 1, 2, 3... scores.
+    """
+    unit = math.gcd(match, -mismatch)
+    up, down = match // unit, mismatch // unit
+    low, high = 1e-6, 20.0
+    for _ in range(200):
+        lam = (low + high) / 2
+        over = p_match * math.exp(lam * up) + (1 - p_match) * math.exp(lam * down) > 1
+        low, high = (low, lam) if over else (lam, high)
+    step = np.zeros(up - down + 1)
+    step[0], step[-1] = 1 - p_match, p_match
+    sums, total = np.ones(1), 0.0
+    for n in range(1, 400):
+        sums = np.convolve(sums, step)
+        value = np.arange(len(sums)) + n * down
+        total += (sums * np.exp(np.minimum(lam * value, 0.0))).sum() / n
+    slope = p_match * up * math.exp(lam * up) + (1 - p_match) * down * math.exp(lam * down)
+    kappa = math.exp(-2 * total) / (slope * -math.expm1(-lam))
+    return lam / unit, kappa
+
+
 @dataclass(frozen=True)
 class Scoring:
     """Match and mismatch scores with their ungapped Karlin-Altschul values."""
@@ -34,8 +68,10 @@ class Scoring:
 
 
 NUCLEOTIDE = Scoring()
-# Identity scoring for proteins; an approximation, as no matrix is used.
-PROTEIN = Scoring(match=5, mismatch=-2, lam=0.318, kappa=0.13)
+# Proteins are scored by identity, without a matrix, with the values of these scores.
+PROTEIN = Scoring(
+    5, -2, *karlin_altschul(5, -2, sum((x / sum(AMINO_SHARES.values())) ** 2 for x in AMINO_SHARES.values()))
+)
 
 
 def _seeds(df: DataFrame, k: int, protein: bool) -> DataFrame:
@@ -80,19 +116,12 @@ def _seed_index(ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
     return stored(rows, "seed-index")
 
 
-def _distinct(df: DataFrame) -> DataFrame:
-    """One row per distinct sequence; copies are searched once."""
-    return df.select(seq_key("seq").alias("key"), F.upper("seq").alias("seq")).dropDuplicates(["key"])
-
-
-def _segments(query: DataFrame, ref: DataFrame, k: int, min_seeds: int, mask: bool,
-              protein: bool) -> DataFrame:
-    """Seed spans ``(q, r, diag, seeds, qstart, qend)`` on each diagonal.
+def _runs(query: DataFrame, ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
+    """Runs of neighbouring seed pairs: ``(q, r, diag, first, last)``, places in the query.
 
-    Of a run of neighbouring seed pairs only the first and the last leave the
-    join: a pair whose neighbours match on both sides adds nothing to the span,
-    and the run's length is the difference of its ends. A long match thus
-    shuffles two rows instead of one per position.
+    Only the first and the last pair of a run leave the join: a pair whose
+    neighbours match on both sides adds nothing. A long match thus shuffles two
+    rows instead of one per position.
     """
     q = _seeds(query, k, protein).select(
         "kmer", F.col("key").alias("q"), F.col("pos").alias("qpos"),
@@ -102,58 +131,118 @@ def _segments(query: DataFrame, ref: DataFrame, k: int, min_seeds: int, mask: bo
         "kmer", F.col("key").alias("r"), F.col("pos").alias("rpos"),
         F.col("prev").alias("rprev"), F.col("next").alias("rnext"),
     )
-    first, last = [
+    begins, ends = [
         (F.col(f"q{side}") != F.col(f"r{side}")) | (F.col(f"q{side}") == 0)
         for side in ("prev", "next")
     ]
-    pairs = salted_pair_join(q, hash_side(r), ["kmer"], ["q", "qpos"], ["r", "rpos"])
-    ends = pairs.filter(first | last)
-    sum_of = lambda side: F.coalesce(F.sum(F.when(side, F.col("qpos"))), F.lit(0))
-    return (
-        ends.groupBy("q", "r", (F.col("qpos") - F.col("rpos")).alias("diag"))
-        .agg(
-            (sum_of(last) - sum_of(first) + F.count_if(first)).alias("seeds"),
-            F.min("qpos").alias("qstart"),
-            (F.max("qpos") + (k - 1)).alias("qend"),
-        )
-        .filter(F.col("seeds") >= min_seeds)
+    if r.count() <= BROADCAST_ROWS:
+        pairs = q.join(F.broadcast(r), "kmer")
+    else:
+        pairs = salted_pair_join(q, hash_side(r), ["kmer"], ["q", "qpos"], ["r", "rpos"])
+    edges = pairs.filter(begins | ends).select(
+        "q", "r", (F.col("qpos") - F.col("rpos")).alias("diag"), "qpos", begins.alias("b"), ends.alias("e")
     )
+    along = Window.partitionBy("q", "r", "diag").orderBy("qpos")
+    return edges.withColumn(
+        "last", F.when(F.col("e"), F.col("qpos")).otherwise(F.lead("qpos").over(along))
+    ).filter("b").select("q", "r", "diag", F.col("qpos").alias("first"), "last")
+
+
+def _regions(runs: DataFrame, k: int, reach: int) -> DataFrame:
+    """Stretches of a diagonal within ``reach`` letters of a run:
+    ``(q, r, diag, start, end, runs)``, not yet cut to the sequences."""
+    along = Window.partitionBy("q", "r", "diag").orderBy("first")
+    before = F.max("last").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    apart = before.isNull() | (F.col("first") - before > 2 * reach + k)
+    numbered = runs.withColumn("new", apart.cast("int")).withColumn("region", F.sum("new").over(along))
+    return numbered.groupBy("q", "r", "diag", "region").agg(
+        (F.min("first") - reach).alias("start"),
+        (F.max("last") + (k - 1 + reach)).alias("end"),
+        F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"),
+    ).drop("region")
+
+
+def _aligned(
+    regions: DataFrame, query: DataFrame, ref: DataFrame, k: int, min_seeds: int, scoring: Scoring
+) -> DataFrame:
+    """All maximal-scoring segments of the regions that hold enough seeds.
 
-
-def _score(segments: DataFrame, query: DataFrame, ref: DataFrame, scoring: Scoring) -> DataFrame:
-    """Add matches, length, bit score and e-value of the ungapped segments."""
+    A segment is maximal if every part at one of its ends scores above zero
+    and no longer segment with that property contains it (the published linear
+    algorithm for all maximal scoring subsequences). So a second match on a
+    diagonal is a segment of its own unless the stretch between costs less than
+    either of the two is worth.
+    """
     q = query.select(F.col("key").alias("q"), F.col("seq").cast("binary").alias("_q"))
     r = ref.select(F.col("key").alias("r"), F.col("seq").cast("binary").alias("_r"))
-    span = F.col("qend") - F.col("qstart") + 1
     # Each side is reduced to its piece right after its join.
-    with_q = salted_join(segments, q, ["q"], "inner", spread=["r", "diag"]).select(
-        *segments.columns,
-        F.length("_q").alias("qlen"),
-        F.col("_q").substr(F.col("qstart"), span).alias("_a"),
+    start = F.greatest("start", F.lit(1), F.col("diag") + 1)
+    with_q = regions.join(q, "q").select(
+        "q", "r", "diag", "runs", start.alias("start"), "end", F.length("_q").alias("qlen"),
+        F.col("_q").substr(start, F.col("end") - start + 1).alias("a"),
     )
-    with_r = salted_join(with_q, r, ["r"], "inner", spread=["q", "diag"]).select(
-        *segments.columns,
-        "qlen",
-        F.explode(
-            F.array(
-                F.struct(
-                    F.col("_a").alias("a"),
-                    F.col("_r").substr(F.col("qstart") - F.col("diag"), span).alias("b"),
-                )
-            )
-        ).alias("p"),
+    cut = with_q.join(r, "r").select(
+        "q", "r", "diag", "runs", "start", "qlen", "a",
+        F.col("_r").substr(F.col("start") - F.col("diag"), F.length("a")).alias("b"),
     )
-    same = F.filter(
-        F.sequence(F.lit(1), span),
-        lambda i: F.col("p.a").substr(i, F.lit(1)) == F.col("p.b").substr(i, F.lit(1)),
+    plus, minus = scoring.match, scoring.mismatch
+    schema = (
+        "q string, r string, diag int, qlen int, qstart int, qend int, seeds int, matches int, raw int"
     )
-    residues = ref.agg(F.sum(F.length("seq")).alias("n")).scalar()
-    raw = F.col("matches") * scoring.match + (F.col("length") - F.col("matches")) * scoring.mismatch
-    bits = (raw * scoring.lam - math.log(scoring.kappa)) / math.log(2)
+
+    def segments(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def maximal(same):
+            """(start, end) of each maximal segment, end exclusive."""
+            turns = np.flatnonzero(np.diff(same)) + 1
+            bounds = np.concatenate(([0], turns, [len(same)])).tolist()
+            found, at = [], 0
+            for a, b in zip(bounds, bounds[1:]):
+                if not same[a]:
+                    at += minus * (b - a)
+                    continue
+                left, right, first = at, at + plus * (b - a), a
+                at = right
+                while True:
+                    j = len(found) - 1
+                    while j >= 0 and found[j][0] >= left:
+                        j -= 1
+                    if j < 0 or found[j][1] >= right:
+                        break
+                    left, first = found[j][0], found[j][2]
+                    del found[j:]
+                found.append((left, right, first, b))
+            return found
+
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                n = min(len(row["a"]), len(row["b"]))
+                same = np.frombuffer(row["a"], np.uint8, n) == np.frombuffer(row["b"], np.uint8, n)
+                runs = [(x["first"], x["last"]) for x in row["runs"]]
+                for left, right, a, b in maximal(same) if n else ():
+                    a, b = a + row["start"], b + row["start"] - 1
+                    seeds = sum(y - x + 1 for x, y in runs if a <= x and y + k - 1 <= b)
+                    if seeds >= max(min_seeds, 1):
+                        matches = int(same[a - row["start"] : b - row["start"] + 1].sum())
+                        out.append((row["q"], row["r"], row["diag"], row["qlen"], a, b, seeds, matches, right - left))
+            columns = list(zip(*out)) or [[]] * 9
+            types = [pa.string()] * 2 + [pa.int32()] * 7
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)],
+                names=["q", "r", "diag", "qlen", "qstart", "qend", "seeds", "matches", "raw"],
+            )
+
+    residues = ref.agg(F.sum(F.length("seq")).alias("n")).first().n or 0
+    bits = (F.col("raw") * scoring.lam - math.log(scoring.kappa)) / math.log(2)
     return (
-        with_r.select(*segments.columns, "qlen", span.alias("length"), F.size(same).alias("matches"))
+        cut.mapInArrow(segments, schema)
+        .withColumn("length", F.col("qend") - F.col("qstart") + 1)
         .withColumn("bitscore", bits)
-        .withColumn("evalue", F.col("qlen") * residues * F.pow(F.lit(2.0), -F.col("bitscore")))
+        .withColumn("evalue", F.col("qlen") * F.lit(residues) * F.pow(F.lit(2.0), -F.col("bitscore")))
+        .drop("raw")
     )
 
 
@@ -168,13 +257,15 @@ def similarity_search(
     mask: bool = False,
     one_per_subject: bool = False,
     scoring: Scoring | None = None,
+    reach: int = 500,
 ) -> DataFrame:
     """Hits of ``query (id, seq, ord)`` in ``ref (id, description, seq)``.
 
-    Exact shared k-mers are seeds. The seeds of a pair that lie on one diagonal
-    span an ungapped segment, which is scored position by position. Scores
-    follow the published Karlin-Altschul formula with fixed parameters: they
-    approximate, and do not repeat, the values of alignment tools.
+    Exact shared k-mers are seeds. Each diagonal of a pair is aligned, without
+    gaps, up to ``reach`` letters around its seeds, and every maximal-scoring
+    segment there with at least ``min_seeds`` seeds is a hit. Scores follow the
+    published Karlin-Altschul formula: they approximate, and do not repeat, the
+    values of alignment tools.
 
     All seeds count; there is no limit per seed, query or subject. Copies of a
     sequence are searched once and written out for every id at the end. With
@@ -196,10 +287,17 @@ def similarity_search(
         query = query.select("id", "ord", F.explode(both).alias("x")).select("id", "ord", "x.*")
     else:
         query = query.select("id", "ord", F.lit("+").alias("strand"), F.upper("seq").alias("seq"))
-    q = stored(_distinct(query), "search-queries")
-    r = stored(_distinct(ref), "search-refs")
-    segments = stored(_segments(q, r, k, min_seeds, mask, protein), "search-segments")
-    scored = _score(segments, q, r, scoring).filter(F.col("evalue") <= max_evalue)
+    # One stored table a side: ids are not worked out again from their sequences.
+    queries = stored(query.withColumn("key", seq_key("seq")), "search-queries")
+    subjects = stored(
+        ref.select("id", "description", F.upper("seq").alias("seq")).withColumn("key", seq_key("seq")),
+        "search-refs",
+    )
+    q = stored(queries.select("key", "seq").dropDuplicates(["key"]), "search-distinct")
+    r = stored(subjects.select("key", "seq").dropDuplicates(["key"]), "search-distinct")
+    runs = stored(_runs(q, r, k, mask, protein), "search-runs")
+    scored = _aligned(_regions(runs, k, reach), q, r, k, min_seeds, scoring)
+    scored = scored.filter(F.col("evalue") <= max_evalue)
     if one_per_subject:
         rest = ["qlen", "qstart", "qend", "seeds", "length", "matches", "evalue"]
         scored = (
@@ -213,11 +311,9 @@ def similarity_search(
             .select("q", "r", "b.*")
         )
     scored = stored(scored, "search-scored")
-    q_ids = query.select(seq_key("seq").alias("q"), F.col("id").alias("qseqid"), "strand", "ord")
-    r_ids = ref.select(
-        seq_key(F.upper("seq")).alias("r"),
-        F.col("id").alias("sseqid"),
-        F.col("description").alias("stitle"),
+    q_ids = queries.select(F.col("key").alias("q"), F.col("id").alias("qseqid"), "strand", "ord")
+    r_ids = subjects.select(
+        F.col("key").alias("r"), F.col("id").alias("sseqid"), F.col("description").alias("stitle")
     )
     # Ids of copies on either side may be many: the grid join spreads them too.
     named = salted_pair_join(scored, q_ids, ["q"], ["r", "diag"], ["qseqid", "ord"])

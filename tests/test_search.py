@@ -24,7 +24,24 @@ def low(kmer):
     return counts[0] + counts[1] >= len(kmer) - len(kmer) // 8
 
 
-def brute(queries, refs, k, max_evalue=1e-5, mask=True, min_seeds=1):
+def maximal(scores):
+    """All maximal-scoring segments by their definition: the best one, then both sides of it."""
+    found, todo = [], [(0, len(scores))]
+    while todo:
+        a, b = todo.pop()
+        best = max(
+            ((sum(scores[i:j]), -(j - i), -i, i, j) for i in range(a, b) if scores[i] > 0
+             for j in range(i + 1, b + 1) if scores[j - 1] > 0),
+            default=(0,),
+        )
+        if best[0] > 0:
+            i, j = best[3], best[4]
+            found.append((i, j))
+            todo += [(a, i), (j, b)]
+    return found
+
+
+def brute(queries, refs, k, max_evalue=1e-5, mask=False, min_seeds=1, match=1, mismatch=-2):
     n_db = sum(len(s) for s in {s for _, s in refs})
     out = set()
     for qid, q in queries:
@@ -35,23 +52,37 @@ def brute(queries, refs, k, max_evalue=1e-5, mask=True, min_seeds=1):
                     for j in range(len(r) - k + 1):
                         if s[i : i + k] == r[j : j + k] and not (mask and low(s[i : i + k])):
                             diags.setdefault(i - j, []).append(i)
-                best = None
                 for d, places in diags.items():
-                    if len(places) < min_seeds:
-                        continue
-                    a, b = min(places), max(places) + k
-                    same = sum(s[x] == r[x - d] for x in range(a, b))
-                    raw = same - 2 * (b - a - same)
-                    bits = (1.33 * raw - math.log(0.621)) / math.log(2)
-                    if len(s) * n_db * 2**-bits <= max_evalue:
-                        best = max(best or (), (bits, -a, d, b, same))
-                if best:
-                    bits, a, d, b, same = best[0], -best[1], best[2], best[3], best[4]
-                    span = (a + 1, b) if strand == "+" else (len(s) - b + 1, len(s) - a)
-                    out.add((qid, rid, strand, *span, a - d + 1, b - d, same, round(bits, 6)))
+                    lo, hi = max(0, d), min(len(s), len(r) + d)
+                    for a, b in maximal([match if s[x] == r[x - d] else mismatch for x in range(lo, hi)]):
+                        a, b = a + lo, b + lo
+                        if sum(a <= x and x + k <= b for x in places) < min_seeds:
+                            continue
+                        same = sum(s[x] == r[x - d] for x in range(a, b))
+                        bits = (1.33 * (same * match + (b - a - same) * mismatch) - math.log(0.621)) / math.log(2)
+                        if len(s) * n_db * 2**-bits <= max_evalue:
+                            span = (a + 1, b) if strand == "+" else (len(s) - b + 1, len(s) - a)
+                            out.add((qid, rid, strand, *span, a - d + 1, b - d, same, round(bits, 6)))
     return out
 
 
+def test_two_matches_on_one_diagonal(spark):
+    """More similarity never gives fewer hits: both blocks are found, as is each alone."""
+    rng = random.Random(8)
+    dna = lambda n: "".join(rng.choices("ACGT", k=n))
+    one, two, gap_q, gap_r = dna(200), dna(40), dna(3000), dna(3000)
+    q, r = frames(spark, [("both", one + gap_q + two), ("first", one + gap_q + dna(40))], [("s", one + gap_r + two)])
+    hits = se.similarity_search(q, r, 28)
+    got = sorted((h.qseqid, h.qstart <= 5, h.length >= 200) for h in hits.collect() if h.strand == "+")
+    assert got == [("both", False, False), ("both", True, True), ("first", True, True)]
+
+
+def test_statistics():
+    lam, kappa = se.karlin_altschul(1, -2, 0.25)
+    assert abs(lam - 1.33) < 0.005 and abs(kappa - 0.621) < 0.01
+    assert 0.3 < se.PROTEIN.lam < 0.6 and 0 < se.PROTEIN.kappa < 1
+
+
 @pytest.fixture(scope="module")
 def homologs():
     rng = random.Random(20)
