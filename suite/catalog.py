@@ -781,18 +781,6 @@ def krona_file(spark, d):
     return spark.read.schema("hit_count long, organism string").option("sep", "\t").csv(path)
 
 
-@query("translated_search")
-def translated_search(spark, d):
-    """Six frames of the documents in the first frame of the benchmark items."""
-    frames = fs.translate_frames(sd.refs(spark, d), keep=("id", "description"))
-    proteins = frames.filter("strand = '+' AND frame = 1").select(
-        "id", "description", F.col("protein").alias("seq")
-    )
-    return se.translated_search(sd.seqs(spark, d), proteins, 5).select(
-        "qseqid", "sseqid", "ord", "strand", "qstart", "qend", F.round("pident", 6).alias("pident"), "length"
-    )
-
-
 # --- taxonomy ----------------------------------------------------------------
 
 P = _with(sd.PLACES, sd.PLACE_CLOSURE)
@@ -985,37 +973,100 @@ def kmer_join(spark, d):
 
 # --- similarity search -------------------------------------------------------
 
-_PAIRS = [a + b for i, a in enumerate("ACGT") for b in "ACGT"[i + 1:]]
-LOWC = "greatest(" + ", ".join(f"length(kmer) - length(translate(kmer, '{p}', ''))" for p in _PAIRS) + ") >= 14"
-SEARCH_SQL = (
-    "qd AS (SELECT md5(seq) AS q, any_value(seq) AS qs FROM seqs GROUP BY 1), "
-    "rd AS (SELECT md5(seq) AS r, any_value(seq) AS rs FROM refs GROUP BY 1), "
-    "qk AS (SELECT q, p AS qpos, substring(qs, p, 15) AS kmer FROM (SELECT q, qs, unnest(range(1, length(qs) - 13)) AS p FROM qd)), "
-    "rk AS (SELECT r, p AS rpos, substring(rs, p, 15) AS kmer FROM (SELECT r, rs, unnest(range(1, length(rs) - 13)) AS p FROM rd)), "
-    f"rm AS (SELECT * FROM rk WHERE NOT ({LOWC})), "
-    "seg AS (SELECT q, r, qpos - rpos AS diag, min(qpos) AS qstart, max(qpos) + 14 AS qend FROM qk JOIN rm USING (kmer) GROUP BY 1, 2, 3), "
-    "al AS (SELECT seg.*, qend - qstart + 1 AS length, CAST(list_sum(list_transform(range(qstart, qend + 1), "
-    "lambda i: CASE WHEN substring(qs, i, 1) = substring(rs, i - diag, 1) THEN 1 ELSE 0 END)) AS BIGINT) AS matches, length(qs) AS qlen "
-    "FROM seg JOIN qd USING (q) JOIN rd USING (r)), "
-    "sco AS (SELECT *, ((matches - 2 * (length - matches)) * 1.33::DOUBLE - ln(0.621::DOUBLE)) / ln(2::DOUBLE) AS bits FROM al), "
-    "ev AS (SELECT * FROM sco WHERE qlen * (SELECT sum(length(rs)) FROM rd) * pow(2::DOUBLE, -bits) <= 1e-5 "
-    "QUALIFY row_number() OVER (PARTITION BY q, r ORDER BY bits DESC, qstart, diag DESC) = 1) "
+def _search_sql(k: int, match: int, mismatch: int, lam: str, kappa: str, reach: int = 500) -> str:
+    """Maximal-scoring segments by their definition, on tables ``qd (q, qs)`` and ``rd (r, rs)``.
+
+    ``st`` and ``en`` are the places where stretches of equal letters begin and
+    end, with the score summed up to there. A pair of them is a candidate if its
+    e-value passes, all other begins inside have higher sums and all other ends
+    inside lower ones; a segment is a candidate no other candidate contains.
+    """
+    key = "q, r, diag, region"
+    return (
+        f"qk AS (SELECT q, p AS qpos, substring(qs, p, {k}) AS kmer FROM (SELECT q, qs, unnest(range(1, length(qs) - {k - 2})) AS p FROM qd)), "
+        f"rk AS (SELECT r, p AS rpos, substring(rs, p, {k}) AS kmer FROM (SELECT r, rs, unnest(range(1, length(rs) - {k - 2})) AS p FROM rd)), "
+        "sp AS (SELECT q, r, qpos - rpos AS diag, qpos FROM qk JOIN rk USING (kmer) WHERE NOT regexp_matches(kmer, '[*X]')), "
+        f"sg AS (SELECT *, CASE WHEN qpos - lag(qpos) OVER w > {2 * reach + k} THEN 1 ELSE 0 END AS nu FROM sp WINDOW w AS (PARTITION BY q, r, diag ORDER BY qpos)), "
+        "si AS (SELECT q, r, diag, qpos, sum(nu) OVER (PARTITION BY q, r, diag ORDER BY qpos) AS region FROM sg), "
+        f"reg AS (SELECT {key}, greatest(min(qpos) - {reach}, 1, diag + 1) AS s, max(qpos) + {k - 1 + reach} AS e FROM si GROUP BY {key}), "
+        f"pos AS (SELECT {key}, qs, rs, unnest(range(s, least(e, length(qs), length(rs) + diag) + 1)) AS p FROM reg JOIN qd USING (q) JOIN rd USING (r)), "
+        f"eq AS (SELECT {key}, p, qs[p] = rs[p - diag] AS same FROM pos), "
+        f"run AS (SELECT *, lag(same) OVER w AS prev, lead(same) OVER w AS nxt, sum(CASE WHEN same THEN {match} ELSE {mismatch} END) OVER w AS up "
+        f"FROM eq WINDOW w AS (PARTITION BY {key} ORDER BY p)), "
+        f"st AS (SELECT {key}, p AS i, up - {match} AS low FROM run WHERE same AND prev IS NOT TRUE), "
+        f"en AS (SELECT {key}, p AS j, up AS high FROM run WHERE same AND nxt IS NOT TRUE), "
+        f"bits AS (SELECT {key}, i, j, low, high, ((high - low) * {lam}::DOUBLE - ln({kappa}::DOUBLE)) / ln(2::DOUBLE) AS bits FROM st JOIN en USING ({key}) "
+        "WHERE j >= i AND high - low >= 15), "
+        "pass AS (SELECT bits.*, length(qs) * (SELECT sum(length(rs)) FROM rd) * pow(2::DOUBLE, -bits) AS evalue, length(qs) AS qlen "
+        "FROM bits JOIN qd USING (q) WHERE length(qs) * (SELECT sum(length(rs)) FROM rd) * pow(2::DOUBLE, -bits) <= 1e-5), "
+        f"cand AS (SELECT * FROM pass c WHERE NOT EXISTS (SELECT 1 FROM st x WHERE (x.q, x.r, x.diag, x.region) = (c.q, c.r, c.diag, c.region) AND x.i > c.i AND x.i <= c.j AND x.low <= c.low) "
+        f"AND NOT EXISTS (SELECT 1 FROM en x WHERE (x.q, x.r, x.diag, x.region) = (c.q, c.r, c.diag, c.region) AND x.j >= c.i AND x.j < c.j AND x.high >= c.high)), "
+        "seg AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand x WHERE (x.q, x.r, x.diag, x.region) = (c.q, c.r, c.diag, c.region) "
+        "AND x.i <= c.i AND x.j >= c.j AND x.j - x.i > c.j - c.i) "
+        f"AND EXISTS (SELECT 1 FROM sp WHERE (sp.q, sp.r, sp.diag) = (c.q, c.r, c.diag) AND sp.qpos >= c.i AND sp.qpos + {k - 1} <= c.j)), "
+        f"ev AS (SELECT {key}, i AS qstart, j AS qend, j - i + 1 AS length, ((high - low) - (j - i + 1) * {mismatch}) // {match - mismatch} AS matches, bits, evalue, qlen FROM seg) "
+    )
+
+
+_STRANDS = (
+    "sides AS (SELECT id, ord, '+' AS strand, seq FROM seqs UNION ALL SELECT id, ord, '-', translate(reverse(seq), 'ACGT', 'TGCA') FROM seqs), "
+    "qd AS (SELECT md5(seq) AS q, any_value(seq) AS qs FROM sides GROUP BY 1), "
+    "rd AS (SELECT md5(seq) AS r, any_value(seq) AS rs FROM refs GROUP BY 1)"
 )
 
 
 @query(
     "similarity_search",
-    _with(sd.SEQS, sd.REFS, SEARCH_SQL)
-    + "SELECT s.id AS qseqid, f.id AS sseqid, s.ord, round(100.0 * matches / length, 6)::DOUBLE AS pident, "
-    "CAST(length AS INTEGER) AS length, CAST(qstart AS INTEGER) AS qstart, CAST(qend AS INTEGER) AS qend, "
+    _with(sd.SEQS, sd.REFS, _STRANDS, _search_sql(15, 1, -2, "1.33", "0.621"))
+    + "SELECT s.id AS qseqid, f.id AS sseqid, s.ord, strand, round(100.0 * matches / length, 6)::DOUBLE AS pident, "
+    "CAST(length AS INTEGER) AS length, CAST(CASE strand WHEN '+' THEN qstart ELSE qlen - qend + 1 END AS INTEGER) AS qstart, "
+    "CAST(CASE strand WHEN '+' THEN qend ELSE qlen - qstart + 1 END AS INTEGER) AS qend, "
     "CAST(qstart - diag AS INTEGER) AS sstart, round(bits, 6) AS bitscore "
-    "FROM ev JOIN seqs s ON md5(s.seq) = q JOIN refs f ON md5(f.seq) = r",
+    "FROM ev JOIN sides s ON md5(s.seq) = q JOIN refs f ON md5(f.seq) = r",
 )
 def similarity_search(spark, d):
-    out = se.similarity_search(sd.seqs(spark, d), sd.refs(spark, d), 15, strands=False)
+    """All segments on both strands."""
+    out = se.similarity_search(sd.seqs(spark, d), sd.refs(spark, d), 15)
     return out.select(
-        "qseqid", "sseqid", "ord", F.round("pident", 6).alias("pident"), "length", "qstart", "qend",
-        "sstart", F.round("bitscore", 6).alias("bitscore"),
+        "qseqid", "sseqid", "ord", "strand", F.round("pident", 6).alias("pident"), "length", "qstart",
+        "qend", "sstart", F.round("bitscore", 6).alias("bitscore"),
+    )
+
+
+def _frames_sql(name: str, source: str, columns: str) -> str:
+    """Six-frame translation of a table with ``seq``: ``strand``, ``f`` and ``protein``."""
+    return (
+        f"{name}_s AS (SELECT {columns}, '+' AS strand, seq AS dna FROM {source} UNION ALL "
+        f"SELECT {columns}, '-', translate(reverse(seq), 'ACGT', 'TGCA') FROM {source}), "
+        f"{name} AS (SELECT {columns}, strand, length(dna) AS n, CAST(f AS INTEGER) AS f, coalesce(array_to_string(list_transform("
+        f"range(f, length(dna) - 1, 3), lambda p: {AMINO_SQL}), ''), '') AS protein FROM {name}_s, range(1, 4) t(f))"
+    )
+
+
+@query(
+    "translated_search",
+    _with(
+        sd.SEQS, sd.REFS, _frames_sql("qf", "seqs", "id, ord"), _frames_sql("rf", "refs", "id"),
+        "qd AS (SELECT md5(protein) AS q, any_value(protein) AS qs FROM qf GROUP BY 1)",
+        "rp AS (SELECT id, protein FROM rf WHERE strand = '+' AND f = 1)",
+        "rd AS (SELECT md5(protein) AS r, any_value(protein) AS rs FROM rp GROUP BY 1)",
+        _search_sql(5, 5, -2, repr(se.PROTEIN.lam), repr(se.PROTEIN.kappa)),
+    )
+    + "SELECT s.id AS qseqid, p.id AS sseqid, s.ord, strand, CAST(CASE strand WHEN '+' THEN f + (qstart - 1) * 3 "
+    "ELSE n - (f + qend * 3 - 1) + 1 END AS INTEGER) AS qstart, CAST(CASE strand WHEN '+' THEN f + qend * 3 - 1 "
+    "ELSE n - (f + (qstart - 1) * 3) + 1 END AS INTEGER) AS qend, round(100.0 * matches / length, 6)::DOUBLE AS pident, "
+    "CAST(length AS INTEGER) AS length, round(bits, 6) AS bitscore "
+    "FROM ev JOIN qf s ON md5(s.protein) = q JOIN rp p ON md5(p.protein) = r",
+)
+def translated_search(spark, d):
+    """Six frames of the documents in the first frame of the benchmark items."""
+    frames = fs.translate_frames(sd.refs(spark, d), keep=("id", "description"))
+    proteins = frames.filter("strand = '+' AND frame = 1").select(
+        "id", "description", F.col("protein").alias("seq")
+    )
+    return se.translated_search(sd.seqs(spark, d), proteins, 5).select(
+        "qseqid", "sseqid", "ord", "strand", "qstart", "qend", F.round("pident", 6).alias("pident"), "length",
+        F.round("bitscore", 6).alias("bitscore"),
     )
 
 
