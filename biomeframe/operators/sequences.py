@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from biomeframe.functions.sequence import gc_fraction, seq_key
 from biomeframe.functions.text import base_id, mean_quality
-from biomeframe.operators.skew import running_total
+from biomeframe.operators.skew import BROADCAST_ROWS, running_total
+from biomeframe.session import stored
 
 
 def min_length(df: DataFrame, n: int = 50) -> DataFrame:
@@ -32,18 +33,20 @@ def unique_ids(df: DataFrame, out: str = "unique_id", bucket: int = 1 << 20) ->
     """Rename repeated ids in file order; ``ord`` must be unique.
 
     The first record of an id keeps its first header token; later ones become
-    ``id_N`` with one counter over all ids. The first records come from a
-    map-side combined minimum joined on ``ord``, so an id with a third of all
-    records is no hot key; the counter is a running sum over order ranges.
+    ``id_N`` with one counter over all ids. Only ids and places are counted:
+    the first records come from a map-side combined minimum, so an id with a
+    third of all records is no hot key, the counter is a running sum over order
+    ranges of the repeats alone, and the new names are joined back by place.
     """
-    named = df.withColumn("_base", base_id("id"))
-    firsts = named.groupBy("_base").agg(F.min("ord").alias("ord")).select("ord", F.lit(0).alias("_dup"))
-    marked = named.join(firsts, "ord", "left").withColumn("_dup", F.coalesce("_dup", F.lit(1)))
-    counted = running_total(marked, "ord", "_dup", "_n", bucket)
-    name = F.when(F.col("_dup") == 0, F.col("_base")).otherwise(
-        F.concat_ws("_", "_base", (F.col("_n") - 1).cast("string"))
+    places = df.select("ord", base_id("id").alias("_base"))
+    firsts = places.groupBy("_base").agg(F.min("ord").alias("ord"))
+    repeats = stored(places.join(firsts.select("ord"), "ord", "left_anti"), "repeats")
+    counted = running_total(repeats.withColumn("_one", F.lit(1)), "ord", "_one", "_n", bucket)
+    names = counted.select(
+        "ord", F.concat_ws("_", "_base", (F.col("_n") - 1).cast("string")).alias("_name")
     )
-    return counted.withColumn(out, name).drop("_base", "_dup", "_n")
+    renamed = df.join(F.broadcast(names) if repeats.count() <= BROADCAST_ROWS else names, "ord", "left")
+    return renamed.withColumn(out, F.coalesce("_name", base_id("id"))).drop("_name")
 
 
 def fastq_to_fasta(reads: DataFrame) -> DataFrame:

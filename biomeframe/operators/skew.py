@@ -62,7 +62,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> di
         .first()
     )
     room = max(sketch.n * HOT_SHARE, float(min_rows))
-    return {t["item"]: ceil(t["count"] / room) for t in sketch.top or () if t["count"] > room}
+    # Pieces are bounded in rows, not in a share of the input that grows with it.
+    return {t["item"]: ceil(t["count"] / min_rows) for t in sketch.top or () if t["count"] > room}
 
 
 def _pieces(hot: dict[int, int], keys: Sequence[str]) -> Column:
@@ -140,9 +141,10 @@ def lookup_join(
     how: str = "left",
     spread: Sequence[str] | None = None,
     max_rows: int = BROADCAST_ROWS,
+    max_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """Join to a reference table: broadcast if counted small, else salted."""
-    if fits_broadcast(small, max_rows):
+    if fits_broadcast(small, max_rows, max_chars):
         return big.join(F.broadcast(small), list(keys), how)
     return salted_join(big, small, keys, how, spread)
 

@@ -188,12 +188,14 @@ def scan_pathogens(
 
 def annotate_contigs(
     contigs: DataFrame, tiers: list[tuple[str, DataFrame, float, float | None]], k: int = 5,
-    min_len: int = 90, top_percent: float = 1,
+    min_len: int = 90, top_percent: float = 1, swissprot: DataFrame | None = None,
+    max_evalue: float = 1e-5,
 ) -> dict[str, DataFrame]:
     """Gene finding and protein annotation.
 
-    ``tiers`` are ``(name, proteins, max_evalue, min_cover)`` in order. The
-    last one also gives the hit table of the quality summary.
+    ``tiers`` are ``(name, proteins, max_evalue, min_cover)`` in order. ``hits``,
+    ``quality`` and ``summary`` come from a search of their own, of all proteins
+    in ``swissprot`` at ``max_evalue``, within ``top_percent`` of the best score.
     """
     orfs = orf_scan(contigs, min_len)
     genes = translate_cds(orf_sequences(orfs, contigs), "cds")
@@ -204,15 +206,16 @@ def annotate_contigs(
     )
     lengths = proteins.select("qseqid", F.length("protein").alias("qlen"))
     built = []
-    hits = None
-    for name, ref, max_evalue, min_cover in tiers:
-        hits = similarity_search(queries, ref, k, max_evalue=max_evalue, protein=True)
+    for name, ref, limit, min_cover in tiers:
+        hits = similarity_search(queries, ref, k, max_evalue=limit, protein=True)
         hits = hits.join(lengths, "qseqid").withColumn("cover", F.col("length") / F.col("qlen") * 100)
-        built.append(Tier(name, hits, max_evalue, min_cover))
+        built.append(Tier(name, hits, limit, min_cover))
     out = {"orfs": orfs, "proteins": proteins}
     if built:
-        best = stored(hit_ops.within_top_percent(stored(hits, "protein-hits"), top_percent), "protein-best")
         out["annotation"] = tiered_annotation(proteins, built)
+    if swissprot is not None:
+        hits = stored(similarity_search(queries, swissprot, k, max_evalue=max_evalue, protein=True), "protein-hits")
+        best = stored(hit_ops.within_top_percent(hits, top_percent), "protein-best")
         out["hits"] = best
         out["quality"] = hit_ops.quality_distribution(best)
         out["summary"] = hit_ops.annotation_summary(best)

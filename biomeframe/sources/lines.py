@@ -9,6 +9,9 @@ from biomeframe.operators.skew import lookup_join
 from biomeframe.session import stored
 
 FILE_BITS = 40
+#: Blocks of text whose numbers are broadcast: about 400 TB in blocks of 128 MB.
+BLOCK_ROWS = 3_000_000
+BLOCK_CHARS = 256 << 20
 
 
 def numbered_records(spark: SparkSession, path, line_sep: str | None = None) -> DataFrame:
@@ -17,7 +20,9 @@ def numbered_records(spark: SparkSession, path, line_sep: str | None = None) ->
     A text scan knows the byte range (block) a record comes from, and the rows
     of a block stay in order. One pass counts the records of each block and
     stores that small table; its running sums then number the records without
-    sorting or shuffling any raw text, as long as it is small, which is counted.
+    sorting or shuffling any raw text: it is broadcast up to some million blocks,
+    which is checked in rows and bytes. Files are told apart by a hash of their
+    path, which is checked to be one path each.
     """
     # Both passes must cut the files alike, also if executors come and go.
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
@@ -26,24 +31,33 @@ def numbered_records(spark: SparkSession, path, line_sep: str | None = None) ->
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
     rows = reader.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("m"),
         "value",
     )
     counted = stored(
-        rows.groupBy("file", "block").agg(F.min("m").alias("m0"), F.count(F.lit(1)).alias("c")),
+        rows.groupBy("file", "block").agg(
+            F.min("m").alias("m0"), F.count(F.lit(1)).alias("c"),
+            F.min("path").alias("path"), F.max("path").alias("path2"),
+        ),
         "blocks",
     )
+    clash = F.raise_error(F.lit("two paths have the same hash")).cast("string")
+    counted = counted.withColumn("path", F.when(F.col("path") == F.col("path2"), F.col("path")).otherwise(clash))
     in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = counted.select(
         "file",
         "block",
         "m0",
         F.coalesce(F.sum("c").over(in_file), F.lit(0)).alias("before"),
-        (F.dense_rank().over(Window.orderBy("file")) - 1).cast("long").alias("file_rank"),
+        (F.dense_rank().over(Window.orderBy("path")) - 1).cast("long").alias("file_rank"),
+    )
+    joined = lookup_join(
+        rows.drop("path"), blocks, ["file", "block"], "left", spread=["m"],
+        max_rows=BLOCK_ROWS, max_chars=BLOCK_CHARS,
     )
-    joined = lookup_join(rows, blocks, ["file", "block"], "left", spread=["m"])
     place = F.col("before") + F.col("m") - F.col("m0")
     lost = F.raise_error(F.lit("files were cut differently between two scans")).cast("long")
     return joined.select("file_rank", F.coalesce(place, lost).alias("n"), "value")

@@ -18,6 +18,7 @@ from biomeframe.operators import orfs as oo
 from biomeframe.operators import search as se
 from biomeframe.operators import sequences as os_
 from biomeframe.operators import taxonomy as tx
+from biomeframe.plans import pipelines as pl
 from biomeframe.session import scratch_path, stored
 from biomeframe.sinks import writers as wr
 from biomeframe.sources import sequences as ss
@@ -737,14 +738,24 @@ def read_quality_filter(spark, d):
 @query(
     "search_time_label",
     "SELECT o_orderkey, CASE WHEN o_orderkey * 2 < 60 THEN '~' || (o_orderkey * 2) || ' seconds' "
-    "WHEN o_orderkey * 2 < 3600 THEN 'minutes' ELSE 'hours' END AS label FROM orders",
+    "WHEN o_orderkey * 2 < 3600 THEN '~' || (m // 10) || '.' || (m % 10) || ' minutes' "
+    "ELSE '~' || (h // 10) || '.' || (h % 10) || ' hours' END AS label "
+    "FROM (SELECT o_orderkey, (40 * o_orderkey + 60) // 120 AS m, (40 * o_orderkey + 3600) // 7200 AS h FROM orders)",
 )
 def search_time_label(spark, d):
-    label = ft.search_time_label("o_orderkey")
-    unit = (
-        F.when(label.endswith("minutes"), "minutes").when(label.endswith("hours"), "hours").otherwise(label)
+    return sd.table(spark, d, "orders").select("o_orderkey", ft.search_time_label("o_orderkey").alias("label"))
+
+
+@query(
+    "number_formats",
+    "SELECT l_orderkey, l_linenumber, format('{:.2e}', l_tax * 1.5e-9) AS sci, "
+    "format('{:.2f}', l_extendedprice) AS fixed FROM lineitem",
+)
+def number_formats(spark, d):
+    return sd.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", ft.fmt_sci(F.col("l_tax") * 1.5e-9).alias("sci"),
+        ft.fmt_fixed("l_extendedprice").alias("fixed"),
     )
-    return sd.table(spark, d, "orders").select("o_orderkey", unit.alias("label"))
 
 
 @query(
@@ -1350,6 +1361,170 @@ def missing_items(spark, d):
     return fe.missing_items(expected, present)
 
 
+# --- more files --------------------------------------------------------------
+
+
+@query(
+    "paired_files",
+    _with(sd.READS, sd.QUALS, "n AS (SELECT row_number() OVER (ORDER BY ord) - 1 AS i, * FROM fastq)")
+    + "SELECT a.id AS id1, a.seq AS seq1, a.qual AS qual1, b.seq AS seq2, a.id = b.id AS same_name "
+    "FROM n a JOIN n b ON a.i = b.i",
+)
+def paired_files(spark, d):
+    """Mates written to two files and read back side by side; mate 2 is the reverse of mate 1."""
+    paths = [scratch_path(spark, f"mate{m}") for m in (1, 2)]
+    for path in paths:
+        wr.write_fastq(sd.fastq(spark, d), path)
+    wide = ss.pair_up(ss.read_paired(spark, *paths))
+    return wide.select("id1", "seq1", "qual1", "seq2", "same_name")
+
+
+_BRACKEN = (
+    _with(sd.PLACES, sd.PLACE_CLOSURE, sd.ORDER_TAXA, CLADES, DISTR, ESTIMATE)
+    + "SELECT name, taxonomy_id, 'S' AS taxonomy_lvl, kraken_assigned_reads, "
+    "CAST(floor(estimate + 1e-9) AS BIGINT) - kraken_assigned_reads AS added_reads, "
+    "CAST(floor(estimate + 1e-9) AS BIGINT) AS new_est_reads, "
+    "round(estimate / (SELECT sum(estimate) FROM est), 5) AS fraction_total_reads FROM est"
+)
+
+
+def _bracken_file(spark, d):
+    path = scratch_path(spark, "bracken")
+    table = tx.bracken_table(_estimate(spark, d, sd.place_tree(spark, d)))
+    wr.write_tsv(table.coalesce(1), path, header=True)
+    return path
+
+
+@query("bracken_file", _BRACKEN)
+def bracken_file(spark, d):
+    return st.read_bracken(spark, _bracken_file(spark, d)).drop("ord")
+
+
+@query("abundance_file", f"SELECT name, fraction_total_reads FROM ({_BRACKEN})")
+def abundance_file(spark, d):
+    return st.read_abundance(spark, _bracken_file(spark, d)).select("name", "fraction_total_reads")
+
+
+@query("id_map_file", "SELECT p_name AS sseqid, p_partkey AS taxid FROM part")
+def id_map_file(spark, d):
+    path = scratch_path(spark, "ids")
+    wr.write_tsv(sd.table(spark, d, "part").select("p_name", "p_partkey"), path)
+    return st.read_id_map(spark, path)
+
+
+@query(
+    "hit_cache_json",
+    _with(sd.RESULTS) + ", last AS (SELECT query_id, max(ord) AS ord FROM results GROUP BY 1) "
+    "SELECT md5(query_id) AS seq_md5, query_id, epoch_us(ts)::DOUBLE AS timestamp, error "
+    "FROM results JOIN last USING (query_id, ord)",
+)
+def hit_cache_json(spark, d):
+    """The last result of each query as one JSON object, imported with its times."""
+    path = scratch_path(spark, "cache") + ".json"
+    last = sd.results(spark, d).groupBy("query_id").agg(F.max_by(F.struct("*"), "ord").alias("r"))
+    whole = last.agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct(F.md5("query_id"), "r")))).alias("value")
+    )
+    whole.coalesce(1).write.text(path)
+    cache = oc.latest_per_key(st.load_hit_cache(spark, path))
+    return cache.select("seq_md5", "result.query_id", "timestamp", "result.error")
+
+
+@query(
+    "annotation_summary_text",
+    H + "SELECT * FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS line_no, unnest(['Functional Annotation Summary', "
+    "repeat('=', 30), 'Total Annotations: ' || count(*), format('Mean Identity %: {:.2f}', avg(pident)), "
+    "'High Quality Hits (>70%): ' || count(*) FILTER (pident > 70), "
+    "'Excellent Hits (>90%): ' || count(*) FILTER (pident > 90)]) AS line FROM hits)",
+)
+def annotation_summary_text(spark, d):
+    text = wr.annotation_summary_text(oh.annotation_summary(sd.hits(spark, d)))
+    return spark.createDataFrame(list(enumerate(text.splitlines(), 1)), "line_no int, line string")
+
+
+@query(
+    "taxonomy_summary_text",
+    RC + ", m AS (SELECT (SELECT count(*) FROM results) AS n, count(DISTINCT ord) AS hit, count(*) AS total, "
+    "count(DISTINCT organism) AS orgs FROM flat) "
+    "SELECT unnest(['Total sequences analyzed: ' || n, 'Sequences with hits: ' || hit, 'Total BLAST hits: ' || total, "
+    "'Unique organisms identified: ' || orgs, format('Classification rate: {:.1f}%', 100 * hit / n)]) AS line FROM m "
+    "UNION ALL SELECT rpad(substring(organism, 1, 29), 30, ' ') || ' ' || rpad(total_hits::VARCHAR, 10, ' ') || ' ' || "
+    "rpad(seqs::VARCHAR, 10, ' ') || ' ' || rpad(format('{:.1f}', total_hits / seqs), 12, ' ') "
+    "FROM (SELECT * FROM counts ORDER BY total_hits DESC, seen LIMIT 20)",
+)
+def taxonomy_summary_text(spark, d):
+    """The counted lines and the top table of the written summary."""
+    text = wr.taxonomy_summary_text(sd.results(spark, d))
+    kept = [x for x in text.splitlines() if ": " in x and "Average" not in x or x.startswith(("org", "Unknown"))]
+    return spark.createDataFrame([(x,) for x in kept], "line string")
+
+
+# --- pipelines ---------------------------------------------------------------
+
+
+@query(
+    "reads_to_abundance",
+    _with(sd.LEAVES, DB_SQL, sd.READS, CLASSIFY_SQL[:-1],
+          "cw AS (SELECT w.taxid, u.a AS ancestor FROM win w JOIN up u USING (taxid))")
+    + "SELECT ancestor AS taxid, count(*) AS clade_reads, count(*) FILTER (ancestor = taxid) AS taxon_reads, "
+    "round(100.0 * count(*) / (SELECT count(*) FROM reads), 6)::DOUBLE AS percentage FROM cw GROUP BY 1 UNION ALL "
+    "SELECT NULL, n, n, round(100.0 * n / (SELECT count(*) FROM reads), 6)::DOUBLE FROM "
+    "(SELECT count(*) AS n FROM reads WHERE ord NOT IN (SELECT ord FROM win)) WHERE n > 0",
+)
+def reads_to_abundance(spark, d):
+    """The FASTQ analysis: all reads classified against all documents, as a clade report."""
+    out = pl.reads_to_abundance(sd.reads(spark, d), sd.language_kmers(spark, d), sd.language_tree(spark, d), 11)
+    return out["report"].select(
+        "taxid", "clade_reads", "taxon_reads", F.round("percentage", 6).alias("percentage")
+    )
+
+
+_LONG = "lg AS (SELECT * FROM seqs WHERE length(seq) >= 50)"
+_ORGANISM = (
+    rf"CASE WHEN contains(description, '[') AND contains(description, ']') THEN trim(replace(split_part(description, '[', -1), ']', '')) "
+    rf"WHEN regexp_extract(description, '{ft.GENUS_SPECIES}', 1) <> '' THEN regexp_extract(description, '{ft.GENUS_SPECIES}', 1) "
+    rf"|| ' ' || regexp_extract(description, '{ft.GENUS_SPECIES}', 2) ELSE array_to_string(list_filter("
+    r"regexp_split_to_array(description, '\s+'), lambda w: w <> '')[1:3], ' ') END"
+)
+
+
+@query(
+    "contigs_to_organisms",
+    _with(sd.SEQS, sd.REFS, _LONG, _STRANDS.replace("FROM seqs", "FROM lg"), _search_sql(15, 1, -2, "1.33", "0.621"))
+    + f"SELECT {_ORGANISM} AS organism, count(*) AS total_hits, count(DISTINCT s.id) AS sequences_with_hits "
+    "FROM ev JOIN sides s ON md5(s.seq) = q JOIN refs f ON md5(f.seq) = r GROUP BY 1",
+)
+def contigs_to_organisms(spark, d):
+    """The FASTA analysis with an empty cache: organisms of all hits of all contigs."""
+    empty = st.load_hit_cache(spark, scratch_path(spark, "no-cache"))
+    out = pl.contigs_to_organisms(sd.seqs(spark, d), sd.refs(spark, d), empty, 0.0, k=15)
+    return out["counts"].select("organism", "total_hits", "sequences_with_hits")
+
+
+_PROTEIN_HITS = _with(
+    sd.SEQS, sd.REFS, _frames_sql("qf", "seqs", "id, ord"), _frames_sql("rf", "refs", "id, description"),
+    "qd AS (SELECT md5(protein) AS q, any_value(protein) AS qs FROM qf GROUP BY 1)",
+    "rp AS (SELECT id, description, protein FROM rf WHERE strand = '+' AND f = 1)",
+    "rd AS (SELECT md5(protein) AS r, any_value(protein) AS rs FROM rp GROUP BY 1)",
+    _search_sql(5, 5, -2, repr(se.PROTEIN.lam), repr(se.PROTEIN.kappa))[:-1],
+    "ht AS (SELECT s.id AS qseqid, p.description AS title, bits, evalue, 100.0 * matches / length AS pident "
+    "FROM ev JOIN qf s ON md5(s.protein) = q JOIN rp p ON md5(p.protein) = r)",
+    "bt AS (SELECT * FROM ht QUALIFY bits >= max(bits) OVER (PARTITION BY qseqid) * 0.95)",
+)
+
+
+@query(
+    "scan_contigs",
+    _PROTEIN_HITS + f"SELECT {_case(ft.RESISTANCE_CLASSES)} AS category, count(*) AS n FROM bt "
+    "WHERE pident >= 70 AND evalue <= 1e-10 GROUP BY 1",
+)
+def scan_contigs(spark, d):
+    """The resistance scan: best hits of all contigs within 5 % of the top score, by class."""
+    frames = fs.translate_frames(sd.refs(spark, d), keep=("id", "description"))
+    proteins = frames.filter("strand = '+' AND frame = 1").select("id", "description", F.col("protein").alias("seq"))
+    return pl.scan_contigs(sd.seqs(spark, d), proteins, "amr")["counts"]
+
+
 # --- streams -----------------------------------------------------------------
 
 

@@ -88,10 +88,10 @@ def test_scans_and_annotation(spark):
     assert {r.Pathogenic: r.n for r in tagged["counts"].collect()} == {"Pathogenic": 1, "Unknown": 1}
     assert tagged["table"].columns == ["staxids", "pident", "bitscore"]
     tiers = [("IS", proteins.filter("id = 'a2'"), 1e-9, 90), ("sprot", proteins.filter("id = 'a1'"), 1e-9, 80)]
-    out = pl.annotate_contigs(contigs, tiers, min_len=150)
+    out = pl.annotate_contigs(contigs, tiers, min_len=150, swissprot=proteins)
     found = {(r.id, r.tier, r["product"]) for r in out["annotation"].collect() if r.tier}
     assert found == {("c1", "sprot", "penicillin hydrolase"), ("c2", "IS", "strange protein")}
-    assert out["summary"].first().n_excellent == 1
+    assert out["summary"].first().n_excellent == 2
 
 
 def test_results_keep_organism_rule(spark):
