@@ -9,6 +9,7 @@ document is in the index, a Parquet table written along with the files.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -36,71 +37,92 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
-_BATCH_BYTES = 2 << 20
-_AT_ONCE = 1024
-_KNOWN_WORDS = 500_000
+_DOCS = 256
+_WORD_DOCS = 4096
+_LINE_WORDS = 2_000
 _ENCODERS: dict = {}
+#: Words of Latin letters, perhaps with full stops or the like behind them.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017e]+([.,;:!?]*)")
+_WORD_END = "</w>"
 
 
 class _Encoder:
-    """A tokenizer, and the ids of words met before in this Python worker.
+    """A tokenizer of one Python worker.
 
-    With ``by_word``, texts are cut at ASCII white space and each distinct word
-    is encoded once. That equals encoding the text where the tokenizer drops white
-    space and never looks across it. The store of words starts anew when full.
+    With ``by_word``, texts are cut at ASCII white space and each distinct word of
+    a batch is encoded once. That equals encoding the text where the tokenizer
+    drops white space and never looks across it. Plain words (letters, then
+    stops) are encoded many to a line: the tokens that end a word, one for the
+    letters and one for the stops, tell where each begins.
     """
 
     def __init__(self, path: str, by_word: bool):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
         self.by_word = by_word
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(0, dtype=np.uint32)
-        self.starts = np.zeros(1, dtype=np.int64)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith(_WORD_END)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
         sizes, flat = [], array("I")
-        for at in range(0, len(texts), _AT_ONCE):  # the library's results are large objects
-            some = self.tokenizer.encode_batch_fast(texts[at : at + _AT_ONCE], add_special_tokens=False)
-            for found in some:
+        for at in range(0, len(texts), 256):  # the library's results are large objects
+            for found in self.tokenizer.encode_batch_fast(texts[at : at + 256], add_special_tokens=False):
                 ids = found.ids
                 sizes.append(len(ids))
                 flat.extend(ids)
-        return np.frombuffer(flat, dtype=np.uint32) if flat else np.zeros(0, np.uint32), np.array(
-            sizes, dtype=np.int64
-        )
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.frombuffer(flat, dtype=np.uint32) if flat else np.zeros(0, np.uint32)
+        return ids, np.array(sizes, dtype=np.int64)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words, where those of each begin, and how many they are."""
+        plain = [_PLAIN.fullmatch(w) for w in words]
+        some = [k for k, m in enumerate(plain) if m]
+        rest = [k for k, m in enumerate(plain) if not m]
+        parts = np.array([1 + bool(plain[k][1]) for k in some], dtype=np.int64)
+        lines = [
+            " ".join(words[k] for k in some[at : at + _LINE_WORDS]) for at in range(0, len(some), _LINE_WORDS)
+        ]
+        line_ids, _ = self._encode(lines)
+        stops = np.flatnonzero(self.ends[line_ids]) + 1
+        if len(stops) != parts.sum() or self.ends.sum() == 0:
+            some, rest, line_ids, bounds = [], list(range(len(words))), line_ids[:0], np.zeros(1, np.int64)
+        else:
+            bounds = np.concatenate(([0], stops[np.cumsum(parts) - 1]))
+        rest_ids, rest_sizes = self._encode([words[k] for k in rest])
+        begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        begin[some], size[some] = bounds[:-1], np.diff(bounds)
+        begin[rest], size[rest] = len(line_ids) + np.cumsum(rest_sizes) - rest_sizes, rest_sizes
+        return np.concatenate((line_ids, rest_ids)), begin, size
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For some texts at a time: how many, their ids in a row, and how many each has."""
         if not self.by_word:
-            return self._encode(texts.to_pylist())
+            for at in range(0, len(texts), _DOCS):
+                some = texts.slice(at, _DOCS)
+                yield len(some), *self._encode(some.to_pylist())
+            return
+        for at in range(0, len(texts), _WORD_DOCS):
+            yield from self._encode_words(texts.slice(at, _WORD_DOCS))
+
+    def _encode_words(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         split = pc.ascii_split_whitespace(texts)
-        per_text = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        upto = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))))
         coded = split.flatten().dictionary_encode()
-        if len(self.known) > _KNOWN_WORDS:
-            self.forget()
-        words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in self.known]
-        if new:
-            flat, sizes = self._encode(new)
-            first = len(self.known)
-            self.known.update(zip(new, range(first, first + len(new))))
-            self.ids = np.concatenate((self.ids, flat))
-            ends = self.starts[-1] + np.cumsum(sizes)
-            self.starts = np.concatenate((self.starts, ends))
-        place = np.fromiter((self.known[w] for w in words), np.int64, len(words))
-        at = place[coded.indices.to_numpy(zero_copy_only=False)]
-        begin, size = self.starts[at], self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = np.repeat(begin - (ends - size), size)
-        flat = self.ids[np.arange(total) + shift]
-        upto = np.concatenate(([0], ends))
-        words_upto = np.concatenate(([0], np.cumsum(per_text)))
-        return flat, np.diff(upto[words_upto])
+        del split
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        ids, begins, sizes = self._words(coded.dictionary.to_pylist())
+        del coded
+        for at in range(0, len(texts), _DOCS):
+            to = min(at + _DOCS, len(texts))
+            some = codes[upto[at] : upto[to]]
+            begin, size = begins[some], sizes[some]
+            ends = np.cumsum(size)
+            total = int(ends[-1]) if len(ends) else 0
+            flat = ids[np.arange(total) + np.repeat(begin - (ends - size), size)]
+            before = np.concatenate(([0], ends))
+            yield to - at, flat, np.diff(before[upto[at : to + 1] - upto[at]])
 
 
 class _Writer:
@@ -216,28 +238,25 @@ def write_token_files(
             encoder = _ENCODERS[tokenizer] = _Encoder(tokenizer, by_word)
         out = writer = None
         first = 0
-        for whole in batches:
-            step = max(1, _BATCH_BYTES * whole.num_rows // max(whole.nbytes, 1))
-            for at in range(0, whole.num_rows, step):
-                batch = whole.slice(at, step)
-                if writer is None:
-                    system, root = fs.FileSystem.from_uri(path)
-                    system.create_dir(root)
-                    out = system.open_output_stream(f"{root}/{name}", compression=None)
-                    writer = _Writer(out, width)
-                flat, sizes = encoder.encode(batch.column(2))
-                ends = np.cumsum(sizes)
-                writer.add(np.insert(flat, ends, end_id))
+        for batch in batches:
+            if writer is None:
+                system, root = fs.FileSystem.from_uri(path)
+                system.create_dir(root)
+                out = system.open_output_stream(f"{root}/{name}", compression=None)
+                writer = _Writer(out, width)
+            at = 0
+            for rows, flat, sizes in encoder.encode(batch.column(2)):
+                writer.add(np.insert(flat, np.cumsum(sizes), end_id))
                 n = sizes + 1
                 starts = first + np.cumsum(n) - n
                 first += int(n.sum())
-                rows = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([task.partitionId()] * rows, pa.int32()),
+                    [batch.column(0).slice(at, rows), pa.array([task.partitionId()] * rows, pa.int32()),
                      pa.array([name] * rows), pa.array(starts), pa.array(n),
                      pa.array([width] * rows, pa.int32())],
                     names=schema.names,
                 )
+                at += rows
         if writer is not None:
             writer.close()
             out.close()

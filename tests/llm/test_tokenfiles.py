@@ -19,12 +19,25 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 BY_WORD, WHOLE = tokenfiles._Encoder(WORD, True), tokenfiles._Encoder(WORD, False)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(max_size=60), max_size=5))
+def joined(encoder, texts):
+    out = [(n, flat.tolist(), sizes.tolist()) for n, flat, sizes in encoder.encode(texts)]
+    return sum(n for n, _, _ in out), [i for _, f, _ in out for i in f], [i for _, _, s in out for i in s]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=60), st.text(alphabet="abÉ.,!?' \ndon't", max_size=40)), max_size=5))
 def test_word_by_word_equals_whole(texts):
     texts = pa.array([t.encode("utf-8", "ignore").decode() for t in texts], pa.string())
-    for a, b in zip(BY_WORD.encode(texts), WHOLE.encode(texts)):
-        assert a.tolist() == b.tolist()
+    assert joined(BY_WORD, texts) == joined(WHOLE, texts)
+
+
+def test_lines_and_slices(monkeypatch):
+    texts = pa.array([prose(k, 50) + " plain words. Here, é!" * k for k in range(9)] + ["", None, " "]).fill_null("")
+    want = joined(WHOLE, texts)
+    monkeypatch.setattr(tokenfiles, "_LINE_WORDS", 7)
+    monkeypatch.setattr(tokenfiles, "_DOCS", 2)
+    monkeypatch.setattr(tokenfiles, "_WORD_DOCS", 5)
+    assert joined(BY_WORD, texts) == want
 
 
 @pytest.mark.parametrize("path, by_word", [(WORD, True), (WORD, False), (BYTES, False)])
