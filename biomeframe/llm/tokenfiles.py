@@ -38,11 +38,13 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 _DOCS = 256
-_WORD_DOCS = 4096
-_LINE_WORDS = 2_000
+_WORD_DOCS = 3072
+_LINE_WORDS = 1_000
 _ENCODERS: dict = {}
-#: Words of Latin letters, perhaps with full stops or the like behind them.
-_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017e]+([.,;:!?]*)")
+#: Stops behind a letter and before white space are a token piece of their own anyway.
+_STOPS = r"([a-z\x{e0}-\x{f6}\x{f8}-\x{ff}])([.,;:!?]+)([ \n]|$)"
+#: Words that are one piece to the tokenizer: Latin letters, or stops.
+_ONE_PIECE = r"^([a-z\x{e0}-\x{f6}\x{f8}-\x{ff}]+|[.,;:!?]+)$"
 _WORD_END = "</w>"
 
 
@@ -51,9 +53,11 @@ class _Encoder:
 
     With ``by_word``, texts are cut at ASCII white space and each distinct word of
     a batch is encoded once. That equals encoding the text where the tokenizer
-    drops white space and never looks across it. Plain words (letters, then
-    stops) are encoded many to a line: the tokens that end a word, one for the
-    letters and one for the stops, tell where each begins.
+    drops white space and case, takes letters and other signs apart, and never
+    looks across white space. So A-Z become a-z first and stops are cut off their
+    words, which leaves fewer distinct ones; not where the text may hold the name
+    of a special token, which has its case. Words of one piece are encoded many
+    to a line: the token that ends a piece ends the word.
     """
 
     def __init__(self, path: str, by_word: bool):
@@ -67,30 +71,25 @@ class _Encoder:
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
         sizes, flat = [], array("I")
-        for at in range(0, len(texts), 256):  # the library's results are large objects
-            for found in self.tokenizer.encode_batch_fast(texts[at : at + 256], add_special_tokens=False):
+        for at in range(0, len(texts), 16):  # the library's results are large objects
+            for found in self.tokenizer.encode_batch_fast(texts[at : at + 16], add_special_tokens=False):
                 ids = found.ids
                 sizes.append(len(ids))
                 flat.extend(ids)
         ids = np.frombuffer(flat, dtype=np.uint32) if flat else np.zeros(0, np.uint32)
         return ids, np.array(sizes, dtype=np.int64)
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all words, where those of each begin, and how many they are."""
-        plain = [_PLAIN.fullmatch(w) for w in words]
-        some = [k for k, m in enumerate(plain) if m]
-        rest = [k for k, m in enumerate(plain) if not m]
-        parts = np.array([1 + bool(plain[k][1]) for k in some], dtype=np.int64)
-        lines = [
-            " ".join(words[k] for k in some[at : at + _LINE_WORDS]) for at in range(0, len(some), _LINE_WORDS)
-        ]
+        plain = pc.match_substring_regex(words, _ONE_PIECE).to_numpy(zero_copy_only=False)
+        some, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+        names = words.take(pa.array(some)).to_pylist()
+        lines = [" ".join(names[at : at + _LINE_WORDS]) for at in range(0, len(names), _LINE_WORDS)]
         line_ids, _ = self._encode(lines)
-        stops = np.flatnonzero(self.ends[line_ids]) + 1
-        if len(stops) != parts.sum() or self.ends.sum() == 0:
-            some, rest, line_ids, bounds = [], list(range(len(words))), line_ids[:0], np.zeros(1, np.int64)
-        else:
-            bounds = np.concatenate(([0], stops[np.cumsum(parts) - 1]))
-        rest_ids, rest_sizes = self._encode([words[k] for k in rest])
+        bounds = np.concatenate(([0], np.flatnonzero(self.ends[line_ids]) + 1))
+        if len(bounds) != len(some) + 1:  # a vocabulary without word ends
+            some, rest, line_ids, bounds = some[:0], np.arange(len(words)), line_ids[:0], bounds[:1]
+        rest_ids, rest_sizes = self._encode(words.take(pa.array(rest)).to_pylist())
         begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         begin[some], size[some] = bounds[:-1], np.diff(bounds)
         begin[rest], size[rest] = len(line_ids) + np.cumsum(rest_sizes) - rest_sizes, rest_sizes
@@ -107,12 +106,14 @@ class _Encoder:
             yield from self._encode_words(texts.slice(at, _WORD_DOCS))
 
     def _encode_words(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), _STOPS, r"\1 \2\3")
         split = pc.ascii_split_whitespace(texts)
         upto = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))))
         coded = split.flatten().dictionary_encode()
         del split
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        ids, begins, sizes = self._words(coded.dictionary.to_pylist())
+        ids, begins, sizes = self._words(coded.dictionary)
         del coded
         for at in range(0, len(texts), _DOCS):
             to = min(at + _DOCS, len(texts))
