@@ -1449,8 +1449,8 @@ def annotation_summary_text(spark, d):
     "SELECT unnest(['Total sequences analyzed: ' || n, 'Sequences with hits: ' || hit, 'Total BLAST hits: ' || total, "
     "'Unique organisms identified: ' || orgs, format('Classification rate: {:.1f}%', 100 * hit / n)]) AS line FROM m "
     "UNION ALL SELECT rpad(substring(organism, 1, 29), 30, ' ') || ' ' || rpad(total_hits::VARCHAR, 10, ' ') || ' ' || "
-    "rpad(seqs::VARCHAR, 10, ' ') || ' ' || rpad(format('{:.1f}', total_hits / seqs), 12, ' ') "
-    "FROM (SELECT * FROM counts ORDER BY total_hits DESC, seen LIMIT 20)",
+    "rpad(seqs::VARCHAR, 10, ' ') || ' ' || rpad((t // 10) || '.' || (t % 10), 12, ' ') "
+    "FROM (SELECT *, (20 * total_hits + seqs) // (2 * seqs) AS t FROM counts ORDER BY total_hits DESC, seen LIMIT 20)",
 )
 def taxonomy_summary_text(spark, d):
     """The counted lines and the top table of the written summary."""
