@@ -22,6 +22,7 @@ from biomeframe.operators.search import (
     translated_search,
 )
 from biomeframe.session import stored
+from biomeframe.sources.sequences import deinterleave, pair_up
 
 
 def reads_to_abundance(
@@ -59,6 +60,22 @@ def reads_to_abundance(
     return out
 
 
+def reads_to_annotation(
+    reads: DataFrame, tiers: list[tuple[str, DataFrame, float, float | None]], interleaved: bool = False,
+    **options,
+) -> dict[str, DataFrame]:
+    """The functional half of a FASTQ analysis: reads as FASTA, then genes and proteins.
+
+    ``interleaved`` says that mates alternate in ``reads``; ``pairs`` then tells
+    which belong together. ``options`` go to ``annotate_contigs``.
+    """
+    fasta = stored(seq_ops.fastq_to_fasta(reads), "reads-fasta")
+    out = {"fasta": fasta, **annotate_contigs(fasta, tiers, **options)}
+    if interleaved:
+        out["pairs"] = pair_up(deinterleave(reads))
+    return out
+
+
 def hits_to_results(work: DataFrame, hits: DataFrame, now: float) -> DataFrame:
     """Nest search hits into one result per searched sequence.
 

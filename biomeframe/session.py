@@ -57,8 +57,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; never reused."""
-    return f"{shared_dir(spark).rstrip('/')}/biomeframe/{name}-{uuid.uuid4().hex}"
+    """A new path in the application's part of the shared folder; never reused."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/biomeframe/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables this application has stored; frames read from them end with it."""
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(context._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -92,6 +92,10 @@ def test_scans_and_annotation(spark):
     found = {(r.id, r.tier, r["product"]) for r in out["annotation"].collect() if r.tier}
     assert found == {("c1", "sprot", "penicillin hydrolase"), ("c2", "IS", "strange protein")}
     assert out["summary"].first().n_excellent == 2
+    reads = contigs.select("id", "seq", F.repeat(F.lit("I"), F.length("seq").cast("int")).alias("qual"), "ord")
+    out = pl.reads_to_annotation(reads, tiers, interleaved=True, min_len=150)
+    assert {(r.id, r.tier) for r in out["annotation"].collect() if r.tier} == {("c1", "sprot"), ("c2", "IS")}
+    assert set(out["fasta"].columns) == {"id", "seq", "ord"} and out["pairs"].count() == 1
 
 
 def test_results_keep_organism_rule(spark):
