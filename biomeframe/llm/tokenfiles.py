@@ -246,6 +246,7 @@ def write_token_files(
                 out = system.open_output_stream(f"{root}/{name}", compression=None)
                 writer = _Writer(out, width)
             at = 0
+            pa.default_memory_pool().release_unused()
             for rows, flat, sizes in encoder.encode(batch.column(2)):
                 writer.add(np.insert(flat, np.cumsum(sizes), end_id))
                 n = sizes + 1
@@ -262,7 +263,14 @@ def write_token_files(
             writer.close()
             out.close()
 
-    return stored(rows.mapInArrow(write, schema), "token-index")
+    # Whole texts: an Arrow batch of the usual number of rows takes much memory on both sides.
+    conf, limit = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(limit)
+    conf.set(limit, str(_WORD_DOCS))
+    try:
+        return stored(rows.mapInArrow(write, schema), "token-index")
+    finally:
+        conf.set(limit, before)
 
 
 def read_token_files(index: DataFrame, path: str) -> DataFrame:
