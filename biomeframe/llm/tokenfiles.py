@@ -14,6 +14,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,6 @@ CHECKSUM_FLAG = 0x80
 _DOCS = 256
 _WORD_DOCS = 3072
 _LINE_WORDS = 1_000
-_ENCODERS: dict = {}
 #: Stops behind a letter and before white space are a token piece of their own anyway.
 _STOPS = r"([a-z\x{e0}-\x{f6}\x{f8}-\x{ff}])([.,;:!?]+)([ \n]|$)"
 #: Words that are one piece to the tokenizer: Latin letters, or stops.
@@ -126,6 +126,12 @@ class _Encoder:
             yield to - at, flat, np.diff(before[upto[at : to + 1] - upto[at]])
 
 
+@cache
+def _encoder(path: str, by_word: bool) -> _Encoder:
+    """One for all tasks of a worker; called by name, so that the worker keeps it."""
+    return _Encoder(path, by_word)
+
+
 class _Writer:
     """Frames of one file, written as they fill."""
 
@@ -234,9 +240,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.zst"
-        encoder = _ENCODERS.get(tokenizer)
-        if encoder is None or encoder.by_word != by_word:
-            encoder = _ENCODERS[tokenizer] = _Encoder(tokenizer, by_word)
+        encoder = _encoder(tokenizer, by_word)
         out = writer = None
         first = 0
         for batch in batches:
