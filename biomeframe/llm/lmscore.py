@@ -5,11 +5,15 @@ network: embeddings of the window, one hidden layer, then the token's class and
 its place in the class, each a softmax. The score of a document is the sum of the
 log-probabilities of its tokens.
 
-The vocabulary is the most frequent words of all documents. The network is
+The vocabulary is the most frequent words of all documents. Any other word is token
+0 and then spelled: its probability is that of token 0 in the window times that of
+its UTF-8 bytes, each after the one before, and of its end, as counted over all
+tokens outside the vocabulary. So each word has a probability of its own. The network is
 trained in numpy on all partitions at once: in each round a task goes through its
 own documents from the common weights, and the weights are averaged. What is
 gathered, word counts and weights of each task, grows with the input; what
-reaches the driver is bounded by the vocabulary and ``FAN`` sets of weights.
+reaches the driver is bounded by the vocabulary, the pairs of bytes and ``FAN``
+sets of weights.
 """
 
 from __future__ import annotations
@@ -45,6 +49,9 @@ FAN = 32
 SEED = 7
 _BLOCK = 2048
 _DOCS = 1024
+#: The byte pairs of a word's spelling, where EDGE stands before its first and behind its last.
+EDGE = 256
+PAIRS = (EDGE + 1) ** 2
 _SHAPES = {
     "embed": (TOKENS + 1, WIDTH),
     "w1": (2 * SIDE * WIDTH, HIDDEN),
@@ -130,29 +137,41 @@ class Network:
         w = self.w
         x, h, group, h2, by_class, by_place = self._forward(context, target)
         rows = np.arange(len(target))
-        dc, dp = np.exp(by_class), np.exp(by_place)
+        dc, dp = np.exp(by_class, out=by_class), np.exp(by_place, out=by_place)
         dc[rows, group] -= 1
         dp[rows, target % PLACES] -= 1
         dc /= len(target)
         dp /= len(target)
         dh2 = dp @ w["wp"].T
         dh = (dc @ w["wc"].T + dh2) * (1 - h * h)
-        grad = np.zeros(SIZE, dtype=np.float32)
-        g = self._views(grad)
-        g["wc"][:], g["bc"][:] = h.T @ dc, dc.sum(axis=0)
-        g["wp"][:], g["bp"][:] = h2.T @ dp, dp.sum(axis=0)
-        g["w1"][:], g["b1"][:] = x.T @ dh, dh.sum(axis=0)
-        np.add.at(g["known"], group, dh2)
-        np.add.at(g["embed"], context.ravel(), (dh @ w["w1"].T).reshape(-1, WIDTH))
         if self.past is None:
-            self.past = np.full(SIZE, 1e-4, dtype=np.float32)
-        self.past += grad * grad
-        self.flat -= RATE * grad / np.sqrt(self.past)
+            self.past = self._views(np.full(SIZE, 1e-4, dtype=np.float32))
+        which = np.zeros((CLASSES, len(target)), dtype=np.float32)
+        which[group, rows] = 1
+        for name, grad in (
+            ("wc", h.T @ dc), ("bc", dc.sum(axis=0)), ("known", which @ dh2),
+            ("wp", h2.T @ dp), ("bp", dp.sum(axis=0)), ("b1", dh.sum(axis=0)),
+        ):
+            self._move(name, slice(None), grad)
+        # Of the embeddings only those of the windows move.
+        flat = context.ravel()
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        starts = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+        parts = (dh @ w["w1"].T).reshape(-1, WIDTH)[order]
+        self._move("w1", slice(None), x.T @ dh)
+        self._move("embed", flat[starts], np.add.reduceat(parts, starts, axis=0))
+
+    def _move(self, name: str, rows, grad: np.ndarray) -> None:
+        past = self.past[name][rows] + grad * grad
+        self.past[name][rows] = past
+        self.w[name][rows] -= RATE * grad / np.sqrt(past)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    return x
 
 
 def windows(docs: list[np.ndarray], every: int = 1, offset: int = 0):
@@ -178,8 +197,51 @@ def _groups(docs: Iterator[np.ndarray], size: int) -> Iterator[list[np.ndarray]]
         yield some
 
 
-def vocabulary(docs: DataFrame, text: str) -> tuple[list[str], np.ndarray]:
-    """The most frequent words of all documents, ties by the word, and counts of all tokens.
+def _byte_pairs(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The byte pairs of all words in a row, and where each word's begin."""
+    words = pa.array(words, pa.large_binary())
+    raw = np.frombuffer(b"".join(words.to_pylist()), dtype=np.uint8)
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
+    starts = np.cumsum(np.concatenate(([0], sizes + 1)))
+    flat = np.full(starts[-1] + 1, EDGE, dtype=np.int64)
+    inside = np.ones(starts[-1], dtype=bool)
+    inside[starts[1:] - 1] = False
+    # A word's bytes, then one EDGE, which is also the one before the next word.
+    flat[1:][inside] = raw
+    return flat[:-1] * (EDGE + 1) + flat[1:], starts[:-1]
+
+
+def spelling(counts: np.ndarray) -> np.ndarray:
+    """Log-probability of the second of each byte pair after the first, with half a pair added."""
+    table = counts.reshape(EDGE + 1, EDGE + 1) + 0.5
+    return np.log(table / table.sum(axis=1, keepdims=True)).ravel()
+
+
+def _pair_counts(words: DataFrame) -> np.ndarray:
+    """Counts of the byte pairs of (word, n) rows, each word counted n times."""
+    schema = StructType([StructField("pair", IntegerType()), StructField("n", LongType())])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PAIRS, dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                pairs, starts = _byte_pairs(batch.column(0).cast(pa.large_binary()))
+                each = np.repeat(batch.column(1).to_numpy(), np.diff(np.append(starts, len(pairs))))
+                total += np.bincount(pairs, each, PAIRS).astype(np.int64)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(met, pa.int32()), pa.array(total[met], pa.int64())], names=schema.names
+        )
+
+    out = np.zeros(PAIRS)
+    for r in words.select("word", "n").mapInArrow(of, schema).groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r.pair] = r.n
+    return out
+
+
+def vocabulary(docs: DataFrame, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The most frequent words of all documents, ties by the word, counts of all tokens,
+    and the spelling of the words outside.
 
     Words are first counted in Arrow, some documents at a time, so that Spark sums
     one row for each distinct word of these.
@@ -202,19 +264,28 @@ def vocabulary(docs: DataFrame, text: str) -> tuple[list[str], np.ndarray]:
     top = counted.orderBy(F.desc("n"), "word").limit(TOKENS - 1).collect()
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     counts = np.array([total - sum(r.n for r in top)] + [r.n for r in top], dtype=float)
-    return [r.word for r in top], np.concatenate((counts, np.zeros(TOKENS - len(counts))))
+    rare = counted
+    if top:
+        last = F.struct(F.lit(-top[-1].n).alias("n"), F.lit(top[-1].word).alias("word"))
+        rare = counted.filter(F.struct((-F.col("n")).alias("n"), "word") > last)
+    counts = np.concatenate((counts, np.zeros(TOKENS - len(counts))))
+    return [r.word for r in top], counts, spelling(_pair_counts(rare))
 
 
-def encoded(docs: DataFrame, vocab: list[str], doc_id: str, text: str) -> DataFrame:
-    """doc_id and ids (two bytes each) of every row."""
+def encoded(docs: DataFrame, vocab: list[str], spelled: np.ndarray, doc_id: str, text: str) -> DataFrame:
+    """doc_id, ids (two bytes each) and log-probability of the spellings of every row."""
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.lower(text), F.lit("")).alias("text")
     )
-    shared = shipped(docs.sparkSession).sparkContext.broadcast({w: k + 1 for k, w in enumerate(vocab)})
-    schema = StructType([rows.schema["doc_id"], StructField("ids", BinaryType())])
+    shared = shipped(docs.sparkSession).sparkContext.broadcast(
+        ({w: k + 1 for k, w in enumerate(vocab)}, spelled)
+    )
+    schema = StructType(
+        [rows.schema["doc_id"], StructField("ids", BinaryType()), StructField("spelled", DoubleType())]
+    )
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known, log_pair = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, _DOCS):
                 batch = whole.slice(at, _DOCS)
@@ -222,11 +293,20 @@ def encoded(docs: DataFrame, vocab: list[str], doc_id: str, text: str) -> DataFr
                 coded = split.flatten().dictionary_encode()
                 # The empty piece beside white space at an end is no word.
                 ids = [PAD if w == "" else known.get(w, 0) for w in coded.dictionary.to_pylist()]
-                flat = np.array(ids, dtype="<u2")[coded.indices.to_numpy(zero_copy_only=False)]
-                ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+                ids = np.array(ids, dtype="<u2")
+                cost, rare = np.zeros(len(ids)), np.flatnonzero(ids == 0)
+                if len(rare):
+                    pairs, starts = _byte_pairs(coded.dictionary.take(pa.array(rare)).cast(pa.large_binary()))
+                    cost[rare] = np.add.reduceat(log_pair[pairs], starts)
+                places = coded.indices.to_numpy(zero_copy_only=False)
+                flat = ids[places]
+                sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+                ends = np.cumsum(sizes)
+                costs = np.bincount(np.repeat(np.arange(len(sizes)), sizes), cost[places], len(sizes))
                 parts = [x[x != PAD].tobytes() for x in np.split(flat, ends[:-1])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(parts, pa.binary())], names=["doc_id", "ids"]
+                    [batch.column(0), pa.array(parts, pa.binary()), pa.array(costs, pa.float64())],
+                    names=schema.names,
                 )
 
     return stored(rows.mapInArrow(of, schema), "ids")
@@ -298,6 +378,7 @@ def score(ids: DataFrame, flat: np.ndarray) -> DataFrame:
         log_prob = Network(shared.value).scorer()
         for batch in batches:
             sums, sizes = [], []
+            spelled = batch.column(2).to_pylist()
             for docs in _groups(_arrays(iter([batch]), 1), 32 * _BLOCK):
                 around, target, owner = windows(docs)
                 total = np.zeros(len(docs))
@@ -306,6 +387,7 @@ def score(ids: DataFrame, flat: np.ndarray) -> DataFrame:
                     total += np.bincount(owner[at : at + _BLOCK], got, len(docs))
                 sums += total.tolist()
                 sizes += [len(d) for d in docs]
+            sums = [s + x for s, x in zip(sums, spelled)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()),
                  pa.array([s / n if n else None for s, n in zip(sums, sizes)], pa.float64())],
@@ -324,6 +406,6 @@ def pseudo_likelihood(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     rows are partitioned, so scores of differently laid out copies of a table
     differ slightly.
     """
-    vocab, counts = vocabulary(docs, text)
-    ids = encoded(docs, vocab, doc_id, text)
+    vocab, counts, spelled = vocabulary(docs, text)
+    ids = encoded(docs, vocab, spelled, doc_id, text)
     return score(ids, train(ids, counts))

@@ -39,3 +39,32 @@ def test_order_is_learned(spark):
 def test_empty(spark):
     assert lmscore.pseudo_likelihood(docs_frame(spark, [])).count() == 0
     assert lmscore.pseudo_likelihood(docs_frame(spark, [(1, None)])).first().n_tokens == 0
+
+
+def test_rare_words_are_spelled(spark):
+    """Beyond the vocabulary each word has its own probability, as counted byte by byte."""
+    common = [f"w{k}" for k in range(lmscore.TOKENS - 1)]
+    rare = ["abab", "abba", "é", "zq", "abab"]
+    rows = [(0, " ".join(common * 3))] + [(k, f"w1 w2 {w} w3 w4") for k, w in enumerate(rare, 1)]
+    pairs = {}
+    for w in rare:
+        at = [lmscore.EDGE, *w.encode(), lmscore.EDGE]
+        for p in zip(at, at[1:]):
+            pairs[p] = pairs.get(p, 0) + 1
+
+    def log_prob(w):
+        at, size, out = [lmscore.EDGE, *w.encode(), lmscore.EDGE], lmscore.EDGE + 1, 0.0
+        for a, b in zip(at, at[1:]):
+            row = sum(n for p, n in pairs.items() if p[0] == a)
+            out += np.log((pairs.get((a, b), 0) + 0.5) / (row + 0.5 * size))
+        return out
+
+    docs = docs_frame(spark, rows)
+    vocab, counts, spelled = lmscore.vocabulary(docs, "text")
+    assert sorted(vocab) == sorted(common) and counts[0] == len(rare)
+    got = {r.doc_id: r.spelled for r in lmscore.encoded(docs, vocab, spelled, "doc_id", "text").collect()}
+    assert got[0] == 0
+    assert all(abs(got[k] - log_prob(w)) < 1e-9 for k, w in enumerate(rare, 1))
+    scores = {r.doc_id: r.log_likelihood for r in lmscore.pseudo_likelihood(docs).collect()}
+    assert abs((scores[1] - scores[2]) - (log_prob("abab") - log_prob("abba"))) < 1e-4
+    assert scores[1] == scores[5] and len({round(scores[k], 6) for k in (1, 2, 4)}) == 3
