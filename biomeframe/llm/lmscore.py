@@ -41,8 +41,9 @@ PAD = TOKENS
 SIDE = 2
 WIDTH, HIDDEN = 16, 32
 ROUNDS = 2
-#: In a round each document trains on every STRIDE-th token, at another offset each time.
-STRIDE = 16
+#: In a round each document trains on every STRIDE-th of its tokens, at another offset each
+#: time: every token of the corpus is a target once.
+STRIDE = ROUNDS
 RATE = 0.1
 STEP = 512
 FAN = 32
@@ -175,13 +176,21 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 
 
 def windows(docs: list[np.ndarray], every: int = 1, offset: int = 0):
-    """Contexts, targets and document numbers of (every ``every``-th of) the tokens."""
+    """Contexts, targets and document numbers of the tokens.
+
+    Of each document only the tokens whose place, counted from 0, leaves ``offset``
+    when divided by ``every``; this does not depend on the documents beside it.
+    """
     pad = np.full(SIDE, PAD, dtype=np.int64)
     flat = np.concatenate([x for d in docs for x in (pad, d)] + [pad]).astype(np.int64)
     owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    at = np.flatnonzero(flat != PAD)[offset::every]
+    at = np.flatnonzero(flat != PAD)
+    if every > 1:
+        first = np.cumsum([0] + [len(d) for d in docs])[owner]
+        mine = (np.arange(len(at)) - first) % every == offset
+        at, owner = at[mine], owner[mine]
     beside = [k for k in range(-SIDE, SIDE + 1) if k]
-    return np.stack([flat[at + k] for k in beside], axis=1), flat[at], owner[offset::every]
+    return np.stack([flat[at + k] for k in beside], axis=1), flat[at], owner
 
 
 def _groups(docs: Iterator[np.ndarray], size: int) -> Iterator[list[np.ndarray]]:

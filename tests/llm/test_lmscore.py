@@ -41,6 +41,20 @@ def test_empty(spark):
     assert lmscore.pseudo_likelihood(docs_frame(spark, [(1, None)])).first().n_tokens == 0
 
 
+def test_every_token_is_a_target_once():
+    """Also of documents of a word or two, whatever stands beside them."""
+    docs = [np.arange(n) + 100 * k for k, n in enumerate((1, 2, 0, 7, 1, 30))]
+    trained = [
+        t
+        for number in range(lmscore.ROUNDS)
+        for some in (docs[:3], docs[3:])
+        for t in lmscore.windows(some, lmscore.STRIDE, number * lmscore.STRIDE // lmscore.ROUNDS)[1].tolist()
+    ]
+    assert sorted(trained) == sorted(t for d in docs for t in d.tolist())
+    one = lmscore.windows(docs, lmscore.STRIDE, 0)
+    assert one[2].tolist() == [k for k, d in enumerate(docs) for _ in d[:: lmscore.STRIDE]]
+
+
 def test_rare_words_are_spelled(spark):
     """Beyond the vocabulary each word has its own probability, as counted byte by byte."""
     common = [f"w{k}" for k in range(lmscore.TOKENS - 1)]
