@@ -2,7 +2,8 @@
 
 Lines are normalised and hashed. Per host the distinct documents with a line are
 counted; exact copies of a text count as one document. Lines above the limit are
-boilerplate. A document that keeps too little without them is depleted.
+boilerplate. A document that keeps too little without them is depleted; ``keep_good``
+returns the others without these lines.
 
 Only built-in expressions are used. Text is read once; what is shuffled is a hash
 and a word count for each line.
@@ -32,17 +33,24 @@ def normalised_line(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(trimmed(F.lower(line)), SPACE_RUN, " "), r"\d+", "0")
 
 
+def _has_word(line: Column) -> Column:
+    return F.length(F.translate(line, SPACES, "")) > 0
+
+
+def _host(host: str) -> Column:
+    return F.coalesce(F.col(host).cast("string"), F.lit(""))
+
+
 def _measured(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
     raw = F.coalesce(F.col(text), F.lit(""))
-    has_word = lambda line: F.length(F.translate(line, SPACES, "")) > 0
     first = docs.select(
         F.col(doc_id).alias("doc_id"),
-        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
+        _host(host).alias("host"),
         F.xxhash64(raw).alias("c1"),
         F.xxhash64(raw, F.lit(1)).alias("c2"),
         F.length(F.translate(raw, SPACES, "")).cast("long").alias("word_chars"),
         (F.length(raw) - F.length(F.translate(raw, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.filter(F.split(raw, "\n", -1), has_word).alias("lines"),
+        F.filter(F.split(raw, "\n", -1), _has_word).alias("lines"),
         F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("w"),
     )
     second = first.select(
@@ -137,10 +145,20 @@ def quality_report(
     ``docs`` are ignored. The measures are written once to the shared folder.
     """
     measured = stored(_measured(docs, doc_id, text, host), "quality")
+    limits = max_docs, max_share, min_kept_share, min_kept_words
+    return _judged(measured, *limits).drop("host", "gone_lines")
+
+
+def _judged(
+    measured: DataFrame, max_docs: int, max_share: float, min_kept_share: float, min_kept_words: int
+) -> DataFrame:
+    """``quality_report`` with the host, and gone_lines: hashes of a document's boilerplate lines or null."""
     lines, frequent = frequent_lines(measured, max_docs, max_share)
     removed = (
         lines.join(frequent, ["host", "h"])
-        .groupBy("host", "c1", "c2").agg(F.sum("n").alias("removed_words"))
+        .groupBy("host", "c1", "c2").agg(
+            F.sum("n").alias("removed_words"), F.collect_set("h").alias("gone_lines")
+        )
     )
     out = measured.join(removed, ["host", "c1", "c2"], "left")
     gone = F.coalesce(F.col("removed_words"), F.lit(0))
@@ -156,19 +174,36 @@ def quality_report(
         failed.alias("base_failed"),
         gone.alias("removed_words"),
         (~failed & ~depleted).alias("kept"),
+        "host", "gone_lines",
     )
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``quality_report`` keeps, with their columns.
+    """The rows of ``docs`` that ``quality_report`` keeps, without boilerplate lines.
 
-    Rows are found again by doc_id and text, so repeated rows share one verdict.
+    Other lines, also blank ones, stay as they are; n_chars, if there is such a
+    column, is the length of the text that is left. Rows are found again by
+    doc_id, host and text, so repeated rows share one verdict.
     """
-    good = quality_report(docs).filter("kept").select("doc_id", "c1", "c2").distinct()
+    measured = stored(_measured(docs, "doc_id", "text", "source"), "quality")
+    judged = _judged(measured, MAX_DOCS, MAX_SHARE, MIN_KEPT_SHARE, MIN_KEPT_WORDS).filter("kept")
+    good = judged.select(
+        *[F.col(c).alias(f"_{c}") for c in ("doc_id", "host", "c1", "c2", "gone_lines")]
+    ).dropDuplicates(["_doc_id", "_host", "_c1", "_c2"])
     raw = F.coalesce(F.col("text"), F.lit(""))
     same = (
-        docs["doc_id"].eqNullSafe(good["doc_id"])
-        & (F.xxhash64(raw) == good["c1"])
-        & (F.xxhash64(raw, F.lit(1)) == good["c2"])
+        docs["doc_id"].eqNullSafe(good["_doc_id"])
+        & (_host("source") == good["_host"])
+        & (F.xxhash64(raw) == good["_c1"])
+        & (F.xxhash64(raw, F.lit(1)) == good["_c2"])
+    )
+    stays = lambda line: ~_has_word(line) | ~F.array_contains(
+        "_gone_lines", F.xxhash64(normalised_line(line))
     )
-    return docs.join(good, same, "left_semi")
+    left = F.array_join(F.filter(F.split("text", "\n", -1), stays), "\n")
+    cleaned = F.when(F.col("_gone_lines").isNull(), F.col("text")).otherwise(left)
+    out = docs.join(good, same).withColumn("text", cleaned)
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("_gone_lines").isNull(), F.col("n_chars")).otherwise(size))
+    return out.select(*docs.columns)

@@ -45,6 +45,17 @@ def test_boilerplate_lines(spark):
     assert kept.columns == docs_frame(spark, []).columns
 
 
+def test_boilerplate_lines_leave_the_kept_text(spark):
+    notice = "Contact the  owner 2019"
+    docs = [(k, f"{prose(300 + k, 60)}\n\nCONTACT the owner {k}\n{prose(400 + k, 9)}", "en", "h") for k in range(20)]
+    docs += [(30, f"{prose(1, 60)}\n{notice}", "en", "h"), (31, f"{prose(1, 60)}\n{notice}", "en", "other"), (None, docs[0][1], "en", "h")]
+    kept = quality.keep_good(docs_frame(spark, docs)).collect()
+    got = sorted(((r.doc_id is None, r.doc_id), r.text, r.n_chars) for r in kept)
+    want = [(d, f"{prose(300 + k, 60)}\n\n{prose(400 + k, 9)}") for k, d in enumerate([*range(20)])]
+    want += [(30, prose(1, 60)), (31, docs[-2][1]), (None, want[0][1])]
+    assert got == sorted(((d is None, d), t, len(t)) for d, t in want)
+
+
 def test_empty(spark):
     assert quality.quality_report(docs_frame(spark, [])).count() == 0
     assert quality.keep_good(docs_frame(spark, AWKWARD)).filter("text IS NULL").count() == 0
