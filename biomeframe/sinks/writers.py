@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,10 @@ from biomeframe.operators.hits import (
     report_order,
 )
 from biomeframe.operators.sequences import unique_ids
+from biomeframe.session import stored
 
+#: Keys in one JSON object of a written cache.
+CACHE_OBJECT_KEYS = 1000
 REPORT_COLUMNS = ["percentage", "clade_reads", "taxon_reads", "rank", "taxid", "name"]
 
 
@@ -149,6 +154,23 @@ def save_hit_cache(df: DataFrame, path: str) -> None:
     )
 
 
+def write_hit_cache_json(df: DataFrame, path: str, per_object: int = CACHE_OBJECT_KEYS) -> None:
+    """``(seq_md5, result)`` with one row per key as JSON objects, one per line.
+
+    Keys are dealt by their hash to objects of about ``per_object`` keys, so no
+    task or value grows with the cache. ``load_hit_cache`` reads the folder with
+    ``multiline=False``.
+    """
+    df = stored(df, "cache-rows")
+    objects = ceil(df.count() / per_object) or 1
+    entries = F.collect_list(F.struct("seq_md5", "result"))
+    (
+        df.groupBy(F.pmod(F.xxhash64("seq_md5"), F.lit(objects)).alias("part"))
+        .agg(F.to_json(F.map_from_entries(entries)).alias("value"))
+        .select("value").write.text(path)
+    )
+
+
 def output_manifest(spark: SparkSession, path: str) -> DataFrame:
     """``(path, name, size_mb)`` of all files below ``path``; reads no content."""
     files = (

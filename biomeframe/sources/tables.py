@@ -157,12 +157,12 @@ def read_blast_results(spark: SparkSession, path, multiline: bool = True) -> Dat
     return rows.withColumn("ord", F.monotonically_increasing_id())
 
 
-def load_hit_cache(spark: SparkSession, path) -> DataFrame:
-    """``(seq_md5, result, timestamp)`` from the cache table, or from a JSON object.
+def load_hit_cache(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
+    """``(seq_md5, result, timestamp)`` from the cache table, or from JSON objects.
 
     A missing or unreadable JSON cache is an empty cache. The JSON form holds
-    one document per file and is meant for the first import; after that the
-    Parquet table of ``save_hit_cache`` is read.
+    one object per file, or without ``multiline`` one per line, and is meant for
+    the first import; after that the Parquet table of ``save_hit_cache`` is read.
     """
     result = T.StructType.fromDDL(RESULT_SCHEMA).simpleString()
     empty = spark.createDataFrame([], f"seq_md5 string, result {result}, timestamp double")
@@ -174,7 +174,7 @@ def load_hit_cache(spark: SparkSession, path) -> DataFrame:
                 return empty
             raise
     try:
-        text = spark.read.text(path, wholetext=True)
+        text = spark.read.text(path, wholetext=multiline)
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
             return empty

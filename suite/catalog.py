@@ -1419,14 +1419,11 @@ def id_map_file(spark, d):
     "FROM results JOIN last USING (query_id, ord)",
 )
 def hit_cache_json(spark, d):
-    """The last result of each query as one JSON object, imported with its times."""
+    """The last result of each query as JSON objects of some thousand keys, imported with its times."""
     path = scratch_path(spark, "cache") + ".json"
     last = sd.results(spark, d).groupBy("query_id").agg(F.max_by(F.struct("*"), "ord").alias("r"))
-    whole = last.agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct(F.md5("query_id"), "r")))).alias("value")
-    )
-    whole.coalesce(1).write.text(path)
-    cache = oc.latest_per_key(st.load_hit_cache(spark, path))
+    wr.write_hit_cache_json(last.select(F.md5("query_id").alias("seq_md5"), F.col("r").alias("result")), path)
+    cache = oc.latest_per_key(st.load_hit_cache(spark, path, multiline=False))
     return cache.select("seq_md5", "result.query_id", "timestamp", "result.error")
 
 

@@ -229,6 +229,19 @@ def test_result_files_and_cache(spark, tmp_path):
     assert len(back) == 1 and back[0].timestamp == 9.0
 
 
+def test_json_cache_in_bounded_objects(spark, tmp_path):
+    rows = [(f"k{k}", (f"q{k}", float(k))) for k in range(500)]
+    frame = spark.createDataFrame(rows, "seq_md5 string, result struct<query_id: string, timestamp: double>")
+    path = str(tmp_path / "many.json")
+    wr.write_hit_cache_json(frame, path, 20)
+    objects = [len(json.loads(r.value)) for r in spark.read.text(path).collect()]
+    assert sum(objects) == 500 and len(objects) > 15 and max(objects) < 60
+    back = st.load_hit_cache(spark, path, multiline=False)
+    assert {(r.seq_md5, r.result.query_id, r.timestamp) for r in back.collect()} == {(a, b, c) for a, (b, c) in rows}
+    wr.write_hit_cache_json(frame.limit(0), str(tmp_path / "none2.json"))
+    assert st.load_hit_cache(spark, str(tmp_path / "none2.json"), multiline=False).count() == 0
+
+
 def test_manifest_and_report_files(spark, tmp_path):
     os.mkdir(tmp_path / "sub")
     for name in ("taxonomy_overview.html", "sub/x.txt", "blast_summary.html", "sub/y.html", "analysis_dashboard.html"):
