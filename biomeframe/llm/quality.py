@@ -21,6 +21,8 @@ SYMBOLS = "#*$%&|<>"
 #: A line is boilerplate in a host if more distinct documents have it than both of these allow.
 MAX_DOCS = 10
 MAX_SHARE = 0.10
+#: ``keep_good`` also takes a line for boilerplate that more distinct documents of a host have.
+MANY_DOCS = 100
 #: A document is depleted if it keeps less than this share of its words, or fewer words.
 MIN_KEPT_SHARE = 0.5
 MIN_KEPT_WORDS = 25
@@ -95,10 +97,12 @@ def _measured(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
 
 
 def frequent_lines(
-    measured: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE
+    measured: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, many_docs: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Lines of distinct documents, and the (host, h) above the limits.
 
+    A line of over ``many_docs`` documents, if given, needs no share of the host.
+
     A host or a line with a third of all rows is no single task: copies of a
     document go first, and both counts combine on the map side.
     """
@@ -116,9 +120,10 @@ def frequent_lines(
         measured.select("host", "c1", "c2").distinct()
         .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     )
-    frequent = counted.join(hosts, "host").filter(
-        F.col("docs") > F.col("host_docs") * F.lit(max_share)
-    )
+    above = F.col("docs") > F.col("host_docs") * F.lit(max_share)
+    if many_docs is not None:
+        above = above | (F.col("docs") > many_docs)
+    frequent = counted.join(hosts, "host").filter(above)
     return lines, frequent.select("host", "h")
 
 
@@ -150,10 +155,11 @@ def quality_report(
 
 
 def _judged(
-    measured: DataFrame, max_docs: int, max_share: float, min_kept_share: float, min_kept_words: int
+    measured: DataFrame, max_docs: int, max_share: float, min_kept_share: float, min_kept_words: int,
+    many_docs: int | None = None,
 ) -> DataFrame:
     """``quality_report`` with the host, and gone_lines: hashes of a document's boilerplate lines or null."""
-    lines, frequent = frequent_lines(measured, max_docs, max_share)
+    lines, frequent = frequent_lines(measured, max_docs, max_share, many_docs)
     removed = (
         lines.join(frequent, ["host", "h"])
         .groupBy("host", "c1", "c2").agg(
@@ -179,14 +185,17 @@ def _judged(
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``quality_report`` keeps, without boilerplate lines.
+    """The rows of ``docs`` that the rules keep, without boilerplate lines.
+
+    As in ``quality_report``, but a line of over ``MANY_DOCS`` distinct documents
+    is boilerplate in a host of any size.
 
     Other lines, also blank ones, stay as they are; n_chars, if there is such a
     column, is the length of the text that is left. Rows are found again by
     doc_id, host and text, so repeated rows share one verdict.
     """
     measured = stored(_measured(docs, "doc_id", "text", "source"), "quality")
-    judged = _judged(measured, MAX_DOCS, MAX_SHARE, MIN_KEPT_SHARE, MIN_KEPT_WORDS).filter("kept")
+    judged = _judged(measured, MAX_DOCS, MAX_SHARE, MIN_KEPT_SHARE, MIN_KEPT_WORDS, MANY_DOCS).filter("kept")
     good = judged.select(
         *[F.col(c).alias(f"_{c}") for c in ("doc_id", "host", "c1", "c2", "gone_lines")]
     ).dropDuplicates(["_doc_id", "_host", "_c1", "_c2"])

@@ -56,6 +56,14 @@ def test_boilerplate_lines_leave_the_kept_text(spark):
     assert got == sorted(((d is None, d), t, len(t)) for d, t in want)
 
 
+def test_line_of_many_documents_of_a_large_host(spark):
+    docs = [(k, f"{prose(k, 60)}" + ("\nFollow us" if k < 101 else "\nSee below" if k < 201 else ""), "en", "h") for k in range(3000)]
+    kept = {r.doc_id: r.text for r in quality.keep_good(docs_frame(spark, docs)).collect()}
+    assert len(kept) == 3000
+    assert all("Follow us" not in kept[k] for k in range(101))
+    assert all(kept[k].endswith("See below") for k in range(101, 201)), "100 documents are not too many"
+
+
 def test_empty(spark):
     assert quality.quality_report(docs_frame(spark, [])).count() == 0
     assert quality.keep_good(docs_frame(spark, AWKWARD)).filter("text IS NULL").count() == 0
