@@ -7,8 +7,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biomeframe.llm import chat, decontaminate, htmltext, langid, lmscore, packing, quality, simhash, tokenfiles, warc
-from biomeframe.llm.common import table
+from biomeframe.llm import (
+    chat, decontaminate, htmltext, langid, lmscore, packing, periodic, quality, simhash, tokenfiles, warc,
+)
+from biomeframe.llm.common import table, words
 from biomeframe.session import stored
 
 
@@ -70,6 +72,35 @@ def op10_html_text(spark: SparkSession, d: str) -> DataFrame:
     return htmltext.extract_text(table(spark, d, "pages"))
 
 
+def _repetitive(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents the words from a place on repeat the first few of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    some = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words(F.col("text"))).alias("w"))
+    n = F.size("w")
+    g = F.floor(F.col("h") / 10)
+    placed = some.withColumn("a", F.when(n > 0, (g % n).cast("int"))).withColumn(
+        "p", (F.floor((n - F.col("a")) / (3 + g % 8)) + 1).cast("int")
+    )
+    left = n - F.col("a")
+    unit = F.slice("w", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(left / F.col("p")).cast("int"))), F.lit(1), left)
+    whole = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return placed.select("doc_id", F.when(n > 0, whole).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    found = periodic.periodic_runs(_repetitive(table(spark, d, "documents")))
+    # The longest run; of several the first, then that of the smallest period.
+    best = F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    length, start, period = -best["col1"], best["start"], best["period"]
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
@@ -82,6 +113,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_score": op9_lm_score,
     "op10_html_text": op10_html_text,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -237,5 +269,55 @@ SELECT page_id, octet_length(encode(html)) AS payload_bytes, {_BASE32} AS payloa
 FROM p JOIN o USING (html)
 """
 
+# CRC-32 of a column's decimal digits: each byte is mixed in, then eight steps of one bit (marked -1).
+_CRC = """xor(list_reduce(flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]
+    FOR c IN string_split(CAST({} AS VARCHAR), '')]), lambda acc, x:
+    CASE WHEN x >= 0 THEN xor(acc, x) ELSE xor(acc >> 1, (acc & 1) * 3988292384) END, 4294967295), 4294967295)"""
+
+_GRAM = " || ' ' || ".join(f"w[i + {k}]" for k in range(5))
+
+# Places at a distance p with the same five words: a stretch of n such places is a run of n + 4 + p words.
+_OP13 = f"""
+WITH raw AS (
+  SELECT row_number() OVER () AS r, doc_id, {_CRC.format("doc_id")} AS h,
+    {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+), place AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) ELSE len(w) END AS a FROM raw
+), doc AS (
+  SELECT r, doc_id, CASE WHEN a < len(w) THEN w[1 : a] || list_transform(range(len(w) - a), lambda k:
+    w[a + 1 + k % (1 + (len(w) - a) // (3 + (h // 10) % 8))]) ELSE w END AS w FROM place
+), gram AS (
+  SELECT r, i - 1 AS i, {_GRAM} AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM doc WHERE len(w) > 5)
+), repeated AS (
+  SELECT * FROM gram QUALIFY count(*) OVER (PARTITION BY r, g) > 1
+), pair AS (
+  SELECT x.r, x.i, y.i - x.i AS p,
+    x.i - row_number() OVER (PARTITION BY x.r, y.i - x.i ORDER BY x.i) AS island
+  FROM repeated x JOIN repeated y ON x.r = y.r AND x.g = y.g AND x.i < y.i
+), stretch AS (
+  SELECT r, min(i) AS start, count(*) + 4 + p AS length, p FROM pair GROUP BY r, p, island
+), run AS (
+  SELECT r, start, length, min(p) AS period FROM stretch
+  WHERE length >= 6 AND length >= 4 * p GROUP BY r, start, length
+), gone AS (
+  SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run
+), gone_list AS (
+  SELECT r, list(i) AS gone FROM gone GROUP BY r
+), kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY i) AS text FROM (
+    SELECT r, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM doc JOIN gone_list USING (r)
+  ) ANTI JOIN gone USING (r, i) GROUP BY r
+), digest AS (
+  SELECT r, count(*) AS n_runs, min(struct_pack(l := -length, s := start, p := period)) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM run GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.l AS length, best.p AS period,
+  1000 * -best.l // best.p AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(CASE WHEN digest.r IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept.text, '') END) AS collapsed_sha256
+FROM doc LEFT JOIN digest USING (r) LEFT JOIN kept USING (r)
+"""
+
 ORACLES = {"op1_decontamination": _OP1, "op2_packing": _op2(), "op4_chat_format": _OP4, "op6_warc": _OP6,
-           "op8_quality_rules": _OP8}
+           "op8_quality_rules": _OP8, "op13_periodic_runs": _OP13}
