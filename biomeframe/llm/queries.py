@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biomeframe.llm import (
-    chat, decontaminate, htmltext, langid, lmscore, packing, periodic, quality, simhash, tokenfiles, warc,
+    chat, decontaminate, htmltext, langid, lmscore, packing, periodic, quality, simhash, tokenfiles, warc, whitening,
 )
 from biomeframe.llm.common import table, words
 from biomeframe.session import stored
@@ -72,6 +72,10 @@ def op10_html_text(spark: SparkSession, d: str) -> DataFrame:
     return htmltext.extract_text(table(spark, d, "pages"))
 
 
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
 def _repetitive(docs: DataFrame) -> DataFrame:
     """doc_id and text; in a tenth of the documents the words from a place on repeat the first few of them."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -113,6 +117,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_score": op9_lm_score,
     "op10_html_text": op10_html_text,
+    "op12_whitening": op12_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
