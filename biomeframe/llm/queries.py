@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biomeframe.llm import (
-    chat, decontaminate, htmltext, langid, lmscore, packing, periodic, quality, simhash, tokenfiles, warc, whitening,
+    chat, decontaminate, htmltext, langid, lmscore, packing, periodic, quality, simhash, tokenfiles, toxicity, warc,
+    whitening,
 )
 from biomeframe.llm.common import table, words
 from biomeframe.session import stored
@@ -72,6 +73,13 @@ def op10_html_text(spark: SparkSession, d: str) -> DataFrame:
     return htmltext.extract_text(table(spark, d, "pages"))
 
 
+def op11_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.train(docs, labels.filter(~held_out))
+    return toxicity.score(docs, model, extra=held_out).withColumnRenamed("extra", "held_out")
+
+
 def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
     return whitening.whiten(table(spark, d, "embeddings"))
 
@@ -117,6 +125,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_score": op9_lm_score,
     "op10_html_text": op10_html_text,
+    "op11_toxicity": op11_toxicity,
     "op12_whitening": op12_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
