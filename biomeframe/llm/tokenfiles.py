@@ -38,6 +38,9 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
+#: A worker keeps the ids of distinct words up to about this size, plus those of one batch; results do not depend on it.
+KNOWN_BYTES = 48 << 20
+_ENTRY_BYTES = 150
 _DOCS = 256
 _WORD_DOCS = 3072
 _LINE_WORDS = 1_000
@@ -64,6 +67,9 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
         self.by_word = by_word
+        self.known: dict[str, int] = {}  # distinct words of earlier batches, by their place in the next two
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.known_bytes = np.zeros(0, np.uint32), 0
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, k in self.tokenizer.get_vocab().items():
             self.ends[k] = token.endswith(_WORD_END)
@@ -80,7 +86,29 @@ class _Encoder:
         return ids, np.array(sizes, dtype=np.int64)
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all words, where those of each begin, and how many they are."""
+        """Ids of all words, where those of each begin, and how many they are.
+
+        Words that the worker's table has are looked up, others encoded and added
+        until it holds KNOWN_BYTES.
+        """
+        names = words.to_pylist()
+        place = np.fromiter((self.known.get(w, -1) for w in names), np.int64, len(names))
+        new = np.flatnonzero(place < 0)
+        ids, begin, size = self._new_words(words.take(pa.array(new)))
+        old = place >= 0
+        begins, sizes = np.empty(len(names), np.int64), np.empty(len(names), np.int64)
+        begins[old], sizes[old] = self.begin[place[old]], self.size[place[old]]
+        begins[new], sizes[new] = begin + len(self.ids), size
+        out = np.concatenate((self.ids, ids))
+        if self.known_bytes < KNOWN_BYTES:
+            self.known.update(zip([names[k] for k in new.tolist()], range(len(self.begin), len(self.begin) + len(new))))
+            self.begin, self.size = np.concatenate((self.begin, begin + len(self.ids))), np.concatenate((self.size, size))
+            self.ids = out
+            self.known_bytes += sum(len(names[k]) for k in new.tolist()) + _ENTRY_BYTES * len(new)
+        return out, begins, sizes
+
+    def _new_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``_words`` by the tokenizer."""
         plain = pc.match_substring_regex(words, _ONE_PIECE).to_numpy(zero_copy_only=False)
         some, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
         names = words.take(pa.array(some)).to_pylist()
@@ -126,6 +154,15 @@ class _Encoder:
             yield to - at, flat, np.diff(before[upto[at : to + 1] - upto[at]])
 
 
+def _uri(path: str) -> str:
+    """A folder that Spark names by one of Hadoop's schemes, as Arrow names it."""
+    return re.sub(r"^dbfs:/+", "file:///dbfs/", re.sub(r"^s3[an]://", "s3://", path))
+
+
+def _files(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(_uri(path))
+
+
 @cache
 def _encoder(path: str, by_word: bool) -> _Encoder:
     """One for all tasks of a worker; called by name, so that the worker keeps it."""
@@ -245,7 +282,7 @@ def write_token_files(
         first = 0
         for batch in batches:
             if writer is None:
-                system, root = fs.FileSystem.from_uri(path)
+                system, root = _files(path)
                 system.create_dir(root)
                 out = system.open_output_stream(f"{root}/{name}", compression=None)
                 writer = _Writer(out, width)
@@ -294,7 +331,7 @@ def read_token_files(index: DataFrame, path: str) -> DataFrame:
     ])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = fs.FileSystem.from_uri(path)
+        system, root = _files(path)
         name, file = None, None
         for batch in batches:
             sums = []

@@ -76,3 +76,24 @@ def test_format(spark, tmp_path):
 
 def test_empty(spark):
     assert tokenfiles.tokenised(docs_frame(spark, []), WORD, end_id=1).count() == 0
+
+
+def test_known_words_do_not_matter(monkeypatch):
+    """The same ids with a full, a small and no table of words, batch after batch."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [prose(k, 60) + " straße Ümlaut! 3.14 <|x|> " + "naïve " * (k % 3) for k in range(40)]
+    whole = [tokenfiles.Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    for limit in (0, 2000, 48 << 20):
+        monkeypatch.setattr(tokenfiles, "KNOWN_BYTES", limit)
+        encoder = tokenfiles._Encoder(path, True)
+        for at in range(0, len(texts), 7):
+            got = []
+            for _, flat, sizes in encoder.encode(pa.array(texts[at : at + 7])):
+                got += [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])]
+            assert got == whole[at : at + 7]
+
+
+def test_paths_of_other_stores(tmp_path):
+    assert tokenfiles._uri("s3a://bucket/a/b") == tokenfiles._uri("s3n://bucket/a/b") == "s3://bucket/a/b"
+    assert tokenfiles._uri("dbfs:/a/b") == "file:///dbfs/a/b"
+    assert tokenfiles._files(f"file://{tmp_path}/x")[1] == f"{tmp_path}/x"
