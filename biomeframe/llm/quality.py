@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biomeframe.llm.common import SPACE_RUN, SPACES, trimmed, words
+from biomeframe.llm.common import SPACE_RUN, SPACES, free_name, trimmed, words
 from biomeframe.session import stored
 
 SYMBOLS = "#*$%&|<>"
@@ -192,27 +192,28 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     Other lines, also blank ones, stay as they are; n_chars, if there is such a
     column, is the length of the text that is left. Rows are found again by
-    doc_id, host and text, so repeated rows share one verdict.
+    doc_id, host and text, so repeated rows share one verdict. A null or empty text
+    fails the base rules; a null doc_id is one id, a null host the empty one. Other
+    columns may have any name.
     """
     measured = stored(_measured(docs, "doc_id", "text", "source"), "quality")
     judged = _judged(measured, MAX_DOCS, MAX_SHARE, MIN_KEPT_SHARE, MIN_KEPT_WORDS, MANY_DOCS).filter("kept")
-    good = judged.select(
-        *[F.col(c).alias(f"_{c}") for c in ("doc_id", "host", "c1", "c2", "gone_lines")]
-    ).dropDuplicates(["_doc_id", "_host", "_c1", "_c2"])
+    names = {c: free_name(docs, f"_{c}") for c in ("doc_id", "host", "c1", "c2", "gone_lines")}
+    good = judged.select(*[F.col(c).alias(name) for c, name in names.items()])
+    good = good.dropDuplicates([name for c, name in names.items() if c != "gone_lines"])
     raw = F.coalesce(F.col("text"), F.lit(""))
     same = (
-        docs["doc_id"].eqNullSafe(good["_doc_id"])
-        & (_host("source") == good["_host"])
-        & (F.xxhash64(raw) == good["_c1"])
-        & (F.xxhash64(raw, F.lit(1)) == good["_c2"])
-    )
-    stays = lambda line: ~_has_word(line) | ~F.array_contains(
-        "_gone_lines", F.xxhash64(normalised_line(line))
+        docs["doc_id"].eqNullSafe(good[names["doc_id"]])
+        & (_host("source") == good[names["host"]])
+        & (F.xxhash64(raw) == good[names["c1"]])
+        & (F.xxhash64(raw, F.lit(1)) == good[names["c2"]])
     )
+    gone = F.col(names["gone_lines"])
+    stays = lambda line: ~_has_word(line) | ~F.array_contains(gone, F.xxhash64(normalised_line(line)))
     left = F.array_join(F.filter(F.split("text", "\n", -1), stays), "\n")
-    cleaned = F.when(F.col("_gone_lines").isNull(), F.col("text")).otherwise(left)
+    cleaned = F.when(gone.isNull(), F.col("text")).otherwise(left)
     out = docs.join(good, same).withColumn("text", cleaned)
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_gone_lines").isNull(), F.col("n_chars")).otherwise(size))
+        out = out.withColumn("n_chars", F.when(gone.isNull(), F.col("n_chars")).otherwise(size))
     return out.select(*docs.columns)

@@ -67,3 +67,11 @@ def test_line_of_many_documents_of_a_large_host(spark):
 def test_empty(spark):
     assert quality.quality_report(docs_frame(spark, [])).count() == 0
     assert quality.keep_good(docs_frame(spark, AWKWARD)).filter("text IS NULL").count() == 0
+
+
+def test_columns_of_any_name(spark):
+    docs = docs_frame(spark, [(k, prose(k, 80), "en", "h") for k in range(12)] + AWKWARD)
+    for name in ("_c1", "_doc_id", "_host", "_gone_lines", "_c2"):
+        docs = docs.withColumn(name, docs["doc_id"].cast("string"))
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= set(range(12))
