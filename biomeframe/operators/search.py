@@ -18,20 +18,13 @@ from biomeframe.functions.sequence import (
     seq_key,
     translate_frames,
 )
+from biomeframe.operators.alignment import AMINO_SHARES, CLASSES, Matrix, extend
 from biomeframe.operators.skew import BROADCAST_ROWS, hash_side, lookup_join, salted_join, salted_pair_join
 from biomeframe.session import stored
 
 PATHOGENIC, NON_PATHOGENIC, UNKNOWN = "Pathogenic", "Non-pathogenic", "Unknown"
 
 
-# Shares of the twenty amino acids in proteins, in per mille.
-AMINO_SHARES = {
-    "A": 78.05, "C": 19.25, "D": 53.64, "E": 62.95, "F": 38.56, "G": 73.77, "H": 21.99, "I": 51.42,
-    "K": 57.44, "L": 90.19, "M": 22.43, "N": 44.87, "P": 52.03, "Q": 42.64, "R": 51.29, "S": 71.20,
-    "T": 58.41, "V": 64.41, "W": 13.30, "Y": 32.16,
-}
-
-
 def karlin_altschul(match: int, mismatch: int, p_match: float) -> tuple[float, float]:
     """Lambda and K of ungapped local scores for two-valued random scores.
 
@@ -65,6 +58,23 @@ class Scoring:
     mismatch: int = -2
     lam: float = 1.33
     kappa: float = 0.621
+    #: Scores by letter pair, in place of match and mismatch.
+    matrix: Matrix | None = None
+
+
+def matrix_scoring(matrix: Matrix) -> Scoring:
+    """Scores of a matrix, with lambda and K worked out from them."""
+    return Scoring(max(matrix.scores.values()), min(matrix.scores.values()), *matrix.statistics, matrix)
+
+
+@dataclass(frozen=True)
+class Gaps:
+    """How ungapped segments are extended: from ``trigger_bits`` on, in a band of ``band``
+    letters to both sides, as long as the score is at most ``xdrop`` below the best one."""
+
+    xdrop: int = 30
+    band: int = 32
+    trigger_bits: float = 18.0
 
 
 NUCLEOTIDE = Scoring()
@@ -74,12 +84,29 @@ PROTEIN = Scoring(
 )
 
 
-def _seeds(df: DataFrame, k: int, protein: bool) -> DataFrame:
+#: Care positions of spaced protein seeds over the near classes of amino acids.
+SPACED = "11010011"
+
+
+def _spaced_seeds(df: DataFrame, pattern: str) -> DataFrame:
+    """Seeds of letter classes at the ones of a pattern; each is a run of its own."""
+    groups = [g for g in CLASSES[0] if len(g) > 1]
+    letters, names = "".join(groups), "".join(g[0] * len(g) for g in groups)
+    rows = explode_kmers(df, len(pattern), keep=("key",), acgt_only=False)
+    care = F.concat(*[F.substring("kmer", p + 1, 1) for p, bit in enumerate(pattern) if bit == "1"])
+    rows = rows.select("key", "pos", F.translate(care, letters, names).alias("kmer"))
+    rows = rows.filter(~F.col("kmer").contains("*") & ~F.col("kmer").contains("X"))
+    return rows.withColumns({"prev": F.lit(0), "next": F.lit(0)})
+
+
+def _seeds(df: DataFrame, k: int, protein: bool, pattern: str | None = None) -> DataFrame:
     """``(key, pos, kmer, prev, next)``; nucleotide seeds are packed into longs.
 
     ``prev`` and ``next`` are the codes of the letters beside the seed, 0 where
     no seed can lie one step further.
     """
+    if pattern:
+        return _spaced_seeds(df, pattern)
     if not protein:
         return explode_kmers(df, k, keep=("key",), packed=k <= 31, flanks=True)
     rows = explode_kmers(df, k, keep=("key",), acgt_only=False, flanks=True)
@@ -91,7 +118,7 @@ def _seeds(df: DataFrame, k: int, protein: bool) -> DataFrame:
     return rows.select("key", "pos", "kmer", *flanks)
 
 
-def _seed_index(ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
+def _seed_index(ref: DataFrame, k: int, mask: bool, protein: bool, pattern: str | None = None) -> DataFrame:
     """Seeds of the references, stored: the counterpart of a formatted database.
 
     The masking is written out with them, so that it is not repeated (as an
@@ -99,7 +126,7 @@ def _seed_index(ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
     the next seed would be masked.
     """
     if protein or not mask:
-        return stored(_seeds(ref, k, protein), "seed-index")
+        return stored(_seeds(ref, k, protein, pattern), "seed-index")
     text = explode_kmers(ref, k, keep=("key",), flanks=True).filter(~low_complexity("kmer", k))
     before = F.concat(F.char("prev"), F.substring("kmer", 1, k - 1))
     after = F.concat(F.expr("substring(kmer, 2)"), F.char("next"))
@@ -116,18 +143,20 @@ def _seed_index(ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
     return stored(rows, "seed-index")
 
 
-def _runs(query: DataFrame, ref: DataFrame, k: int, mask: bool, protein: bool) -> DataFrame:
+def _runs(
+    query: DataFrame, ref: DataFrame, k: int, mask: bool, protein: bool, pattern: str | None = None
+) -> DataFrame:
     """Runs of neighbouring seed pairs: ``(q, r, diag, first, last)``, places in the query.
 
     Only the first and the last pair of a run leave the join: a pair whose
     neighbours match on both sides adds nothing. A long match thus shuffles two
     rows instead of one per position.
     """
-    q = _seeds(query, k, protein).select(
+    q = _seeds(query, k, protein, pattern).select(
         "kmer", F.col("key").alias("q"), F.col("pos").alias("qpos"),
         F.col("prev").alias("qprev"), F.col("next").alias("qnext"),
     )
-    r = _seed_index(ref, k, mask, protein).select(
+    r = _seed_index(ref, k, mask, protein, pattern).select(
         "kmer", F.col("key").alias("r"), F.col("pos").alias("rpos"),
         F.col("prev").alias("rprev"), F.col("next").alias("rnext"),
     )
@@ -186,6 +215,7 @@ def _aligned(
         F.col("_r").substr(F.col("start") - F.col("diag"), F.length("a")).alias("b"),
     )
     plus, minus = scoring.match, scoring.mismatch
+    table = scoring.matrix.table if scoring.matrix else None
     schema = (
         "q string, r string, diag int, qlen int, qstart int, qend int, seeds int, matches int, raw int"
     )
@@ -194,17 +224,17 @@ def _aligned(
         import numpy as np
         import pyarrow as pa
 
-        def maximal(same):
+        def maximal(scores):
             """(start, end) of each maximal segment, end exclusive."""
-            turns = np.flatnonzero(np.diff(same)) + 1
-            bounds = np.concatenate(([0], turns, [len(same)])).tolist()
-            found, at = [], 0
-            for a, b in zip(bounds, bounds[1:]):
-                if not same[a]:
-                    at += minus * (b - a)
+            good = scores > 0
+            turns = np.flatnonzero(np.diff(good)) + 1
+            bounds = np.concatenate(([0], turns, [len(good)]))
+            sums = np.concatenate(([0], np.cumsum(scores)))[bounds].tolist()
+            bounds, found = bounds.tolist(), []
+            for a, b, left, right in zip(bounds, bounds[1:], sums, sums[1:]):
+                if not good[a]:
                     continue
-                left, right, first = at, at + plus * (b - a), a
-                at = right
+                first = a
                 while True:
                     j = len(found) - 1
                     while j >= 0 and found[j][0] >= left:
@@ -220,9 +250,11 @@ def _aligned(
             out = []
             for row in batch.to_pylist():
                 n = min(len(row["a"]), len(row["b"]))
-                same = np.frombuffer(row["a"], np.uint8, n) == np.frombuffer(row["b"], np.uint8, n)
+                x, y = np.frombuffer(row["a"], np.uint8, n), np.frombuffer(row["b"], np.uint8, n)
+                same = x == y
+                scores = np.where(same, plus, minus) if table is None else table[x, y]
                 runs = [(x["first"], x["last"]) for x in row["runs"]]
-                for left, right, a, b in maximal(same) if n else ():
+                for left, right, a, b in maximal(scores) if n else ():
                     a, b = a + row["start"], b + row["start"] - 1
                     seeds = sum(y - x + 1 for x, y in runs if a <= x and y + k - 1 <= b)
                     if seeds >= max(min_seeds, 1):
@@ -235,15 +267,101 @@ def _aligned(
                 names=["q", "r", "diag", "qlen", "qstart", "qend", "seeds", "matches", "raw"],
             )
 
+    found = cut.mapInArrow(segments, schema).withColumn("length", F.col("qend") - F.col("qstart") + 1)
+    return found.withColumns({
+        "sstart": F.col("qstart") - F.col("diag"), "send": F.col("qend") - F.col("diag"), "gapopen": F.lit(0),
+    })
+
+
+def _with_bits(scored: DataFrame, ref: DataFrame, scoring: Scoring) -> DataFrame:
+    """Bit score and e-value from the raw score."""
     residues = ref.agg(F.sum(F.length("seq")).alias("n")).first().n or 0
     bits = (F.col("raw") * scoring.lam - math.log(scoring.kappa)) / math.log(2)
-    return (
-        cut.mapInArrow(segments, schema)
-        .withColumn("length", F.col("qend") - F.col("qstart") + 1)
-        .withColumn("bitscore", bits)
-        .withColumn("evalue", F.col("qlen") * F.lit(residues) * F.pow(F.lit(2.0), -F.col("bitscore")))
-        .drop("raw")
-    )
+    scored = scored.withColumn("bitscore", bits)
+    return scored.withColumn("evalue", F.col("qlen") * F.lit(residues) * F.pow(F.lit(2.0), -F.col("bitscore")))
+
+
+_PAIRS = 256
+
+
+def _extended(
+    scored: DataFrame, query: DataFrame, ref: DataFrame, matrix: Matrix, gaps: Gaps, reach: int
+) -> DataFrame:
+    """The segments extended over gaps to both sides.
+
+    Pieces of ``reach`` letters are tried first; a hit whose extension is still
+    alive at the end of a piece that is not the end of its sequence is taken up
+    again with four times as much, so that no extension is cut short. Of hits
+    that begin (or end) at the same letters the best one stays.
+    """
+    table, open_, longer = matrix.table, matrix.gap_open, matrix.gap_extend
+    names = [
+        "q", "r", "diag", "qlen", "qstart", "qend", "seeds", "matches", "raw", "length", "sstart", "send", "gapopen",
+    ]
+    fields = ["diag int", "q string", "r string", *[f"{c} int" for c in names[3:]]]
+    schema = "q string, r string, diag int, " + ", ".join(fields[3:]) + ", more boolean"
+    q = query.select(F.col("key").alias("q"), F.col("seq").alias("_q"))
+    r = ref.select(F.col("key").alias("r"), F.col("seq").alias("_r"))
+
+    def pieces(rows: DataFrame, text: str, start: str, end: str, side: str, size: int) -> DataFrame:
+        """Letters before (backwards) and behind a segment, and whether there are more of them."""
+        low = F.greatest(F.col(start) - size, F.lit(1))
+        return rows.withColumns({
+            f"{side}l": F.reverse(F.col(text).substr(low, F.col(start) - low)).cast("binary"),
+            f"{side}r": F.col(text).substr(F.col(end) + 1, F.lit(size)).cast("binary"),
+            f"{side}l_more": low > 1, f"{side}r_more": F.length(text) > F.col(end) + size,
+        }).drop(text)
+
+    def work(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, _PAIRS):
+                batch = whole.slice(at, _PAIRS)
+                col = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c not in ("q", "r")}
+                out = {c: col[c].astype(np.int64) for c in names[2:]}
+                more = np.zeros(batch.num_rows, dtype=bool)
+                for side in "lr":
+                    a, b = (batch.column(x + side).to_pylist() for x in "ab")
+                    found = extend(a, b, table, open_, longer, gaps.xdrop, gaps.band)
+                    out["matches"] += found.matches
+                    out["raw"] += found.score
+                    out["length"] += found.columns
+                    out["gapopen"] += found.gap_opens
+                    sign, q_end, s_end = (-1, "qstart", "sstart") if side == "l" else (1, "qend", "send")
+                    out[q_end] += sign * found.used_a
+                    out[s_end] += sign * found.used_b
+                    more |= found.at_end_a & col[f"a{side}_more"].astype(bool)
+                    more |= found.at_end_b & col[f"b{side}_more"].astype(bool)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("q"), batch.column("r"), *[pa.array(out[c], pa.int32()) for c in names[2:]], pa.array(more)],
+                    names=[*names, "more"],
+                )
+
+    done, size = [], reach
+    todo = scored.select(*names)
+    while True:
+        # Each side is reduced to its pieces right after its join.
+        cut = pieces(todo.join(q, "q"), "_q", "qstart", "qend", "a", size)
+        cut = pieces(cut.join(r, "r"), "_r", "sstart", "send", "b", size)
+        tried = stored(cut.mapInArrow(work, schema).withColumn("n", F.lit(size)), "extended")
+        done.append(tried.filter(~F.col("more")))
+        again = tried.filter("more").select("q", "r", "diag", "seeds")
+        if again.isEmpty():
+            break
+        size *= 4
+        # The segment itself is found again by its place: extension starts from it anew.
+        todo = scored.select(*names).join(again.distinct(), ["q", "r", "diag", "seeds"], "left_semi")
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    rest = [c for c in names if c not in ("q", "r")]
+    for ends in (("qstart", "sstart"), ("qend", "send")):
+        order = F.struct("raw", -F.col("n"), -F.col("qstart"), -F.col("sstart"), -F.col("qend"), -F.col("send"), -F.col("diag"))
+        kept = out.groupBy("q", "r", *[F.col(c).alias(f"_{c}") for c in ends])
+        out = kept.agg(F.max_by(F.struct(*rest, "n"), order).alias("b")).select("q", "r", "b.*")
+    return out.drop("n")
 
 
 def similarity_search(
@@ -258,6 +376,8 @@ def similarity_search(
     one_per_subject: bool = False,
     scoring: Scoring | None = None,
     reach: int = 500,
+    gaps: Gaps | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Hits of ``query (id, seq, ord)`` in ``ref (id, description, seq)``.
 
@@ -274,11 +394,22 @@ def similarity_search(
     segment of a pair is kept. Both are off by default. Frequent seeds
     are spread over a grid of tasks.
 
+    With ``gaps`` the segments are extended over gaps (affine costs of the matrix of
+    ``scoring``, which must have one); the e-value then is that of the whole
+    alignment, with the values of the ungapped scores. With ``pattern`` protein
+    seeds are classes of amino acids at its ones, in place of ``k`` equal letters.
+
     Output: the 13 hit columns, ``strand`` and the query's ``ord``.
     """
     scoring = scoring or (PROTEIN if protein else NUCLEOTIDE)
     if mask and protein:
         raise ValueError("masking is for nucleotide references")
+    if gaps and not scoring.matrix:
+        raise ValueError("gaps need the costs of a matrix")
+    if pattern:
+        if not protein:
+            raise ValueError("patterns are for proteins")
+        k = len(pattern)
     if strands and not protein:
         both = F.array(
             F.struct(F.lit("+").alias("strand"), F.upper("seq").alias("seq")),
@@ -295,11 +426,14 @@ def similarity_search(
     )
     q = stored(queries.select("key", "seq").dropDuplicates(["key"]), "search-distinct")
     r = stored(subjects.select("key", "seq").dropDuplicates(["key"]), "search-distinct")
-    runs = stored(_runs(q, r, k, mask, protein), "search-runs")
-    scored = _aligned(_regions(runs, k, reach), q, r, k, min_seeds, scoring)
+    runs = stored(_runs(q, r, k, mask, protein, pattern), "search-runs")
+    scored = _with_bits(_aligned(_regions(runs, k, reach), q, r, k, min_seeds, scoring), r, scoring)
+    if gaps:
+        segments = stored(scored.filter(F.col("bitscore") >= gaps.trigger_bits), "search-segments")
+        scored = _with_bits(_extended(segments, q, r, scoring.matrix, gaps, reach), r, scoring)
     scored = scored.filter(F.col("evalue") <= max_evalue)
     if one_per_subject:
-        rest = ["qlen", "qstart", "qend", "seeds", "length", "matches", "evalue"]
+        rest = ["qlen", "qstart", "qend", "sstart", "send", "seeds", "length", "matches", "gapopen", "evalue"]
         scored = (
             scored.groupBy("q", "r")
             .agg(
@@ -319,6 +453,8 @@ def similarity_search(
     named = salted_pair_join(scored, q_ids, ["q"], ["r", "diag"], ["qseqid", "ord"])
     named = salted_pair_join(named, r_ids, ["r"], ["qseqid", "ord", "diag"], ["sseqid"])
     plus = F.col("strand") == "+"
+    # Columns with a letter on both sides: all letters, less one for each column.
+    paired = F.col("qend") - F.col("qstart") + F.col("send") - F.col("sstart") + 2 - F.col("length")
     start = F.when(plus, F.col("qstart")).otherwise(F.col("qlen") - F.col("qend") + 1)
     end = F.when(plus, F.col("qend")).otherwise(F.col("qlen") - F.col("qstart") + 1)
     return named.select(
@@ -326,12 +462,12 @@ def similarity_search(
         "sseqid",
         (F.col("matches") / F.col("length") * 100).alias("pident"),
         "length",
-        (F.col("length") - F.col("matches")).alias("mismatch"),
-        F.lit(0).alias("gapopen"),
+        (paired - F.col("matches")).alias("mismatch"),
+        "gapopen",
         start.alias("qstart"),
         end.alias("qend"),
-        (F.col("qstart") - F.col("diag")).alias("sstart"),
-        (F.col("qend") - F.col("diag")).alias("send"),
+        "sstart",
+        "send",
         "evalue",
         "bitscore",
         "stitle",

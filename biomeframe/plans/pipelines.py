@@ -169,10 +169,14 @@ def contigs_to_organisms(
 
 
 def scan_contigs(
-    contigs: DataFrame, proteins: DataFrame, kind: str, k: int = 5, top_percent: float = 5
+    contigs: DataFrame, proteins: DataFrame, kind: str, k: int = 5, top_percent: float = 5, **search
 ) -> dict[str, DataFrame]:
-    """Resistance (``amr``) or virulence (``vf``) scan and its report tables."""
-    hits = stored(translated_search(contigs, proteins, k), "scan-hits")
+    """Resistance (``amr``) or virulence (``vf``) scan and its report tables.
+
+    ``search`` goes to ``translated_search``: a matrix, gaps and spaced seeds find
+    relatives that share few words of ``k`` letters.
+    """
+    hits = stored(translated_search(contigs, proteins, k, **search), "scan-hits")
     best = stored(hit_ops.within_top_percent(hits, top_percent), "scan-best")
     good = hit_ops.high_quality(best)
     return {
@@ -191,9 +195,10 @@ def scan_pathogens(
     taxids: DataFrame,
     k: int = 5,
     top_percent: float = 3,
+    **search,
 ) -> dict[str, DataFrame]:
-    """Pathogen screen: tagged hits, counts per tag, first 20 rows."""
-    hits = stored(translated_search(contigs, proteins, k), "pathogen-hits")
+    """Pathogen screen: tagged hits, counts per tag, first 20 rows. ``search`` as in ``scan_contigs``."""
+    hits = stored(translated_search(contigs, proteins, k, **search), "pathogen-hits")
     best = hit_ops.within_top_percent(hits, top_percent)
     tagged = stored(tag_pathogenic(best, id2taxid, taxids), "pathogen-tagged")
     return {

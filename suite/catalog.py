@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from biomeframe.functions import sequence as fs
 from biomeframe.functions import text as ft
+from biomeframe.operators import alignment as al
 from biomeframe.operators import cache as oc
 from biomeframe.operators import categories as cat
 from biomeframe.operators import classify as cl
@@ -984,7 +985,10 @@ def kmer_join(spark, d):
 
 # --- similarity search -------------------------------------------------------
 
-def _search_sql(k: int, match: int, mismatch: int, lam: str, kappa: str, reach: int = 500) -> str:
+def _search_sql(
+    k: int, match: int, mismatch: int, lam: str, kappa: str, reach: int = 500,
+    passing: str = "length(qs) * (SELECT sum(length(rs)) FROM rd) * pow(2::DOUBLE, -bits) <= 1e-5", least: int = 15,
+) -> str:
     """Maximal-scoring segments by their definition, on tables ``qd (q, qs)`` and ``rd (r, rs)``.
 
     ``st`` and ``en`` are the places where stretches of equal letters begin and
@@ -1007,18 +1011,21 @@ def _search_sql(k: int, match: int, mismatch: int, lam: str, kappa: str, reach:
         f"st AS (SELECT {key}, p AS i, up - {match} AS low FROM run WHERE same AND prev IS NOT TRUE), "
         f"en AS (SELECT {key}, p AS j, up AS high FROM run WHERE same AND nxt IS NOT TRUE), "
         f"bits AS (SELECT {key}, i, j, low, high, ((high - low) * {lam}::DOUBLE - ln({kappa}::DOUBLE)) / ln(2::DOUBLE) AS bits FROM st JOIN en USING ({key}) "
-        "WHERE j >= i AND high - low >= 15), "
+        f"WHERE j >= i AND high - low >= {least}), "
         "pass AS (SELECT bits.*, length(qs) * (SELECT sum(length(rs)) FROM rd) * pow(2::DOUBLE, -bits) AS evalue, length(qs) AS qlen "
-        "FROM bits JOIN qd USING (q) WHERE length(qs) * (SELECT sum(length(rs)) FROM rd) * pow(2::DOUBLE, -bits) <= 1e-5), "
+        f"FROM bits JOIN qd USING (q) WHERE {passing}), "
         f"cand AS (SELECT * FROM pass c WHERE NOT EXISTS (SELECT 1 FROM st x WHERE (x.q, x.r, x.diag, x.region) = (c.q, c.r, c.diag, c.region) AND x.i > c.i AND x.i <= c.j AND x.low <= c.low) "
         f"AND NOT EXISTS (SELECT 1 FROM en x WHERE (x.q, x.r, x.diag, x.region) = (c.q, c.r, c.diag, c.region) AND x.j >= c.i AND x.j < c.j AND x.high >= c.high)), "
         "seg AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand x WHERE (x.q, x.r, x.diag, x.region) = (c.q, c.r, c.diag, c.region) "
         "AND x.i <= c.i AND x.j >= c.j AND x.j - x.i > c.j - c.i) "
         f"AND EXISTS (SELECT 1 FROM sp WHERE (sp.q, sp.r, sp.diag) = (c.q, c.r, c.diag) AND sp.qpos >= c.i AND sp.qpos + {k - 1} <= c.j)), "
-        f"ev AS (SELECT {key}, i AS qstart, j AS qend, j - i + 1 AS length, ((high - low) - (j - i + 1) * {mismatch}) // {match - mismatch} AS matches, bits, evalue, qlen FROM seg) "
+        f"ev AS (SELECT {key}, i AS qstart, j AS qend, j - i + 1 AS length, ((high - low) - (j - i + 1) * {mismatch}) // {match - mismatch} AS matches, high - low AS raw, bits, evalue, qlen FROM seg) "
     )
 
 
+_NUCLEOTIDES = se.matrix_scoring(al.nucleotide_matrix())
+_LAM, _KAPPA = repr(_NUCLEOTIDES.lam), repr(_NUCLEOTIDES.kappa)
+
 _STRANDS = (
     "sides AS (SELECT id, ord, '+' AS strand, seq FROM seqs UNION ALL SELECT id, ord, '-', translate(reverse(seq), 'ACGT', 'TGCA') FROM seqs), "
     "qd AS (SELECT md5(seq) AS q, any_value(seq) AS qs FROM sides GROUP BY 1), "
@@ -1081,6 +1088,93 @@ def translated_search(spark, d):
     )
 
 
+def _extension_sql(match: int, mismatch: int, first: int, more: int, xdrop: int, band: int) -> str:
+    """Gapped extension of the segments ``ev`` to both sides, one anti-diagonal a step: ``ext``.
+
+    A cell ``c`` holds the last two anti-diagonals of the diagonal ``c - band - 1``: scores
+    of alignments that end with a pair (h), a letter of the query (f) or of the subject
+    (e) against a gap, and their counts: matches, 2^20 for a gap, 2^40 for a column.
+    """
+    never, gap, col = -(1 << 28), 1 << 20, 1 << 40
+    new = first + more
+    return (
+        "hit AS (SELECT row_number() OVER () AS n, ev.*, qstart - diag AS sstart, qend - diag AS send, qs, rs FROM ev JOIN qd USING (q) JOIN rd USING (r)), "
+        "side AS (SELECT 2 * n AS n, reverse(qs[1 : qstart - 1]) AS a, reverse(rs[1 : sstart - 1]) AS b FROM hit UNION ALL "
+        "SELECT 2 * n + 1, qs[qend + 1 :], rs[send + 1 :] FROM hit), "
+        f"step AS (SELECT n, c, 0 AS d, CASE WHEN c = {band + 1} THEN 0 ELSE {never} END AS h, {never} AS e, {never} AS f, "
+        f"0::BIGINT AS hc, 0::BIGINT AS ec, 0::BIGINT AS fc, 0 AS best, 0::BIGINT AS bc, 0 AS bi, 0 AS bj FROM side, range(1, {2 * band + 2}) t(c) "
+        "UNION ALL SELECT n, c, d, "
+        f"CASE WHEN NOT act THEN h WHEN now >= top - {xdrop} THEN now ELSE {never} END, "
+        f"CASE WHEN NOT act THEN e WHEN fits AND en >= top - {xdrop} THEN en ELSE {never} END, "
+        f"CASE WHEN NOT act THEN f WHEN fits AND fn >= top - {xdrop} THEN fn ELSE {never} END, "
+        "CASE WHEN act THEN cnt ELSE hc END, CASE WHEN act THEN enc ELSE ec END, CASE WHEN act THEN fnc ELSE fc END, top, "
+        "CASE WHEN top > best THEN peak.cnt ELSE bc END, CASE WHEN top > best THEN peak.i ELSE bi END, CASE WHEN top > best THEN peak.j ELSE bj END "
+        "FROM (SELECT *, greatest(best, max(now) FILTER (act) OVER g) AS top, "
+        "arg_max({'cnt': cnt, 'i': i, 'j': j}, now::BIGINT * 100000 - c) FILTER (act) OVER g AS peak "
+        f"FROM (SELECT *, CASE WHEN NOT fits THEN {never} WHEN greatest(pn, fn) < en THEN en WHEN pn < fn THEN fn ELSE pn END AS now, "
+        "CASE WHEN greatest(pn, fn) < en THEN enc WHEN pn < fn THEN fnc ELSE pc END AS cnt FROM ("
+        f"SELECT *, i >= 0 AND j >= 0 AND (i + j) = d AND (d + c + {band + 1}) % 2 = 0 AS act, i <= length(a) AND j <= length(b) AS fits, "
+        f"greatest(hu - {new}, fu - {more}) AS fn, CASE WHEN hu - {new} >= fu - {more} THEN huc + {gap} ELSE fuc END + {col} AS fnc, "
+        f"greatest(hd - {new}, ed - {more}) AS en, CASE WHEN hd - {new} >= ed - {more} THEN hdc + {gap} ELSE edc END + {col} AS enc, "
+        f"CASE WHEN i > 0 AND j > 0 THEN h + CASE WHEN a[i] = b[j] THEN {match} ELSE {mismatch} END ELSE {never} END AS pn, "
+        f"hc + {col} + CASE WHEN a[i] = b[j] THEN 1 ELSE 0 END AS pc "
+        f"FROM (SELECT step.* REPLACE (d + 1 AS d), a, b, (d + 1 + c - {band + 1}) // 2 AS i, (d + 1 - c + {band + 1}) // 2 AS j, "
+        + ", ".join(
+            f"coalesce({way}({x}{y}) OVER o, {default}) AS {x}{to}{y}"
+            for way, to, names in (("lag", "u", "hf"), ("lead", "d", "he"))
+            for x in names for y, default in (("", never), ("c", 0))
+        )
+        + " FROM step JOIN side USING (n) WINDOW o AS (PARTITION BY n ORDER BY c))) x) y WINDOW g AS (PARTITION BY n)) z "
+        f"QUALIFY max(CASE WHEN act THEN CASE WHEN now >= top - {xdrop} THEN 1 ELSE 0 END ELSE CASE WHEN h > {never // 2} THEN 1 ELSE 0 END END) OVER (PARTITION BY n) = 1 "
+        "OR max(top - best) OVER (PARTITION BY n) > 0), "
+        "found AS (SELECT n, arg_max({'s': best, 'c': bc, 'i': bi, 'j': bj}, d) AS x FROM step GROUP BY n), "
+        f"grown AS (SELECT q, r, qlen, hit.diag, qstart - l.x.i AS qstart, qend + t.x.i AS qend, sstart - l.x.j AS sstart, send + t.x.j AS send, "
+        f"raw + l.x.s + t.x.s AS raw, matches + (l.x.c + t.x.c) % {gap} AS matches, ((l.x.c + t.x.c) // {gap}) % {gap} AS gapopen, "
+        f"length + (l.x.c + t.x.c) // {col} AS length FROM hit JOIN found l ON l.n = 2 * hit.n JOIN found t ON t.n = 2 * hit.n + 1), "
+        "ext AS (SELECT * FROM (SELECT * FROM grown QUALIFY row_number() OVER (PARTITION BY q, r, qstart, sstart ORDER BY raw DESC, qend, send, diag) = 1) "
+        "QUALIFY row_number() OVER (PARTITION BY q, r, qend, send ORDER BY raw DESC, qstart, sstart, diag) = 1) "
+    )
+
+
+#: Stand-ins for relatives: the items' sequences with a letter less and two more.
+GAPPED_REFS = (
+    "cut AS (SELECT id, seq, length(seq) // 3 AS t FROM refs), "
+    "kin AS (SELECT id, seq[1 : t] || seq[t + 2 : 2 * t] || 'AC' || seq[2 * t + 1 :] AS seq FROM cut)"
+)
+
+
+@query(
+    "gapped_search",
+    _with(
+        sd.SEQS, sd.REFS, GAPPED_REFS, "qd AS (SELECT md5(seq) AS q, any_value(seq) AS qs FROM seqs GROUP BY 1)",
+        "rd AS (SELECT md5(seq) AS r, any_value(seq) AS rs FROM kin GROUP BY 1)",
+        _search_sql(13, 1, -2, _LAM, _KAPPA, passing="bits >= 18", least=9)[:-1],
+        _extension_sql(1, -2, 2, 2, 12, 8),
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+    + "SELECT s.id AS qseqid, k.id AS sseqid, s.ord, round(100.0 * matches / ext.length, 6)::DOUBLE AS pident, "
+    "CAST(ext.length AS INTEGER) AS length, CAST(qend - qstart + send - sstart + 2 - ext.length - matches AS INTEGER) AS mismatch, "
+    "CAST(gapopen AS INTEGER) AS gapopen, CAST(qstart AS INTEGER) AS qstart, CAST(qend AS INTEGER) AS qend, "
+    "CAST(sstart AS INTEGER) AS sstart, CAST(send AS INTEGER) AS send, round(bits, 6) AS bitscore, k.id AS stitle "
+    f"FROM (SELECT *, (raw * {_LAM}::DOUBLE - ln({_KAPPA}::DOUBLE)) / ln(2::DOUBLE) AS bits FROM ext) ext "
+    "JOIN seqs s ON md5(s.seq) = q JOIN kin k ON md5(k.seq) = r "
+    "WHERE qlen * (SELECT sum(length(rs)) FROM rd) * pow(2::DOUBLE, -bits) <= 1e-5",
+)
+def gapped_search(spark, d):
+    """The documents in relatives of the items, over gaps."""
+    t = F.expr("length(seq) div 3")
+    kin = F.concat(
+        F.col("seq").substr(F.lit(1), t), F.col("seq").substr(t + 2, t - 1), F.lit("AC"), F.col("seq").substr(2 * t + 1, F.length("seq")),
+    )
+    refs = sd.refs(spark, d).select("id", F.col("id").alias("description"), kin.alias("seq"))
+    out = se.similarity_search(
+        sd.seqs(spark, d), refs, 13, strands=False, scoring=_NUCLEOTIDES, gaps=se.Gaps(xdrop=12, band=8, trigger_bits=18)
+    )
+    return out.select(
+        "qseqid", "sseqid", "ord", F.round("pident", 6).alias("pident"), "length", "mismatch", "gapopen", "qstart",
+        "qend", "sstart", "send", F.round("bitscore", 6).alias("bitscore"), "stitle",
+    )
+
+
 # --- cache -------------------------------------------------------------------
 
 LATEST = (
