@@ -1,4 +1,10 @@
+import math
+import os
+import zlib
+from collections import Counter
+
 import numpy as np
+import pytest
 
 from biomeframe.llm import langid
 from tests.llm.helpers import AWKWARD, docs_frame
@@ -46,3 +52,63 @@ def test_blocks_do_not_matter(monkeypatch):
     want = langid.scores(model, texts)
     monkeypatch.setattr(langid, "_BLOCK", 64)
     assert np.allclose(langid.scores(model, texts), want)
+
+
+DIR = "/root/testdata/sf0.01"
+ALIENS = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+    "xkcq zvbn wrtp ghjk lmnb vcxz qwrt plkj hgfd sdfg zxcv bnmq wrtz pkjl",
+]
+
+
+def plain_model(rows):
+    """Naive Bayes with a dictionary of counts for each language, n-gram by n-gram."""
+    counts, totals = {}, Counter()
+    for text, lang in rows:
+        totals[lang] += 1
+        counts.setdefault(lang, Counter()).update(grams(text))
+    return counts, totals
+
+
+def grams(text):
+    folded = np.array([0, *[ord(c) if c.isalpha() else 0 for c in text.lower()], 0, 0], dtype=np.uint32)
+    return [int(x) for some in langid._buckets(folded) for x in some]
+
+
+def plain_scores(counts, totals, text):
+    out = {}
+    for lang, table in counts.items():
+        total = sum(table.values()) + langid.SMOOTHING * (1 << langid.BITS)
+        out[lang] = math.log(totals[lang] / sum(totals.values())) + sum(
+            math.log((table[g] + langid.SMOOTHING) / total) for g in grams(text)
+        )
+    return out
+
+
+def test_against_plain_naive_bayes(spark):
+    rows = [(r.text, r.lang) for r in labelled(spark).collect() if r.text is not None and r.lang is not None]
+    counts, totals = plain_model(rows)
+    model = langid.train(labelled(spark))
+    texts = ["the house was over", "die straße", "dog und katze", "x", "Ärger über with", EN, DE]
+    joint = langid.scores(model, texts)
+    for text, row in zip(texts, joint):
+        want = plain_scores(counts, totals, text)
+        assert np.allclose(row, [want[x] for x in model.languages], rtol=1e-4)
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
+def test_held_out_rows_and_unlearned_languages(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    held = lambda k: zlib.crc32(str(k).encode()) % 4 == 2
+    rows = docs.collect()
+    training = [r.doc_id for r in rows if not held(r.doc_id)]
+    model = langid.train(docs.filter(docs.doc_id.isin(training)))
+    found = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    tests = [r for r in rows if held(r.doc_id) and r.lang is not None and r.text]
+    assert sum(found[r.doc_id] == r.lang for r in tests) >= 0.97 * len(tests)
+    kept = langid.keep_languages(docs, model)
+    assert kept.count() >= 0.99 * docs.filter("text RLIKE '[a-z]'").count()
+    aliens = spark.createDataFrame([(k, t) for k, t in enumerate(ALIENS)], "doc_id bigint, text string")
+    assert all(r.score > 0.9 for r in langid.predict(aliens, model).collect())
+    assert langid.keep_languages(aliens, model).count() == 0
