@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,7 +117,11 @@ def read_flagged_hits(spark: SparkSession, path) -> DataFrame:
 
 
 def read_gff(spark: SparkSession, path) -> DataFrame:
-    """Nine feature columns, attributes as a map. The FASTA tail falls out."""
+    """Nine feature columns, attributes as a map. The FASTA tail falls out.
+
+    Values of an attribute that is given several times are joined by commas;
+    empty attributes (``;;``) fall out.
+    """
     cells = F.split("value", "\t")
     rows = (
         spark.read.text(path)
@@ -137,10 +141,26 @@ def read_gff(spark: SparkSession, path) -> DataFrame:
         cell(5).alias("score"),
         cell(6).alias("strand"),
         cell(7).alias("phase"),
-        F.str_to_map(cell(8), F.lit(";"), F.lit("=")).alias("attributes"),
+        _attributes(cell(8)).alias("attributes"),
     )
 
 
+def _attributes(text: Column) -> Column:
+    def pair(x: Column) -> Column:
+        key = F.substring_index(x, "=", 1)
+        value = F.when(F.contains(x, F.lit("=")), x.substr(F.length(key) + 2, F.length(x)))
+        return F.struct(key.alias("k"), value.alias("v"))
+
+    pairs = F.transform(F.filter(F.split(text, ";"), lambda x: F.trim(x) != ""), pair)
+    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+
+    def joined(k: Column) -> Column:
+        values = F.transform(F.filter(pairs, lambda p: (p["k"] == k) & p["v"].isNotNull()), lambda p: p["v"])
+        return F.when(F.size(values) > 0, F.array_join(values, ","))
+
+    return F.map_from_arrays(keys, F.transform(keys, joined))
+
+
 def read_annotation(spark: SparkSession, path) -> DataFrame:
     return (
         spark.read.schema(ANNOTATION_SCHEMA).option("header", True).option("sep", "\t")

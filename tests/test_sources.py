@@ -257,3 +257,10 @@ def test_manifest_and_report_files(spark, tmp_path):
     assert [r.name for r in fe.ungrouped_artifacts(m).collect()] == ["y.html"]
     expected = spark.createDataFrame([("db", "/nowhere", True), ("opt", "/none", False)], "label string, path string, required boolean")
     assert {(r.label, r.need) for r in fe.missing_items(expected, m).collect()} == {("db", "required"), ("opt", "optional")}
+
+
+def test_gff_repeated_attributes(spark, tmp_path):
+    text = "c\tx\tCDS\t1\t9\t.\t+\t0\tID=a;Dbxref=p:1;;Dbxref=q:2;note=x=y;flag;flag\nc\tx\tgene\t1\t9\n"
+    rows = st.read_gff(spark, put(tmp_path / "y.gff", text)).collect()
+    assert rows[0].attributes == {"ID": "a", "Dbxref": "p:1,q:2", "note": "x=y", "flag": None}
+    assert rows[1].attributes is None
