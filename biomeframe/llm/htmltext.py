@@ -11,9 +11,10 @@ goes with its neighbours.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,6 +45,25 @@ BAD_WORDS = frozenset(
     " login signin search toolbar copyright form hidden skip".split()
 )
 GOOD_WORDS = frozenset("article content post entry story body text main page".split())
+#: Reader comments and adverts, also where they are marked up as articles.
+ALIEN_WORDS = frozenset("comment comments ad ads".split())
+#: Behind these words, or before those, a name tells of a page's layout, not of its own text.
+BEFORE = frozenset("has have with without no not".split())
+AFTER = frozenset("open opened closed enabled disabled on off".split())
+#: Words that say what an element is only as the last of its name, or before a word for a container.
+LAST_ONLY = frozenset("form search alert notice social share skip reply hidden related promo".split())
+CONTAINERS = frozenset(
+    "area bar block body box button buttons container content group inner item items left list"
+    " links message outer panel posts right row section text top bottom wrap wrapper".split()
+)
+#: Headings of link lists that stand in an article but are no part of it.
+LIST_TITLES = frozenset((
+    "advertisement", "also read", "comments", "more articles", "more like this", "more stories",
+    "most read", "read also", "read more", "recommended", "related", "related articles",
+    "related content", "related links", "related posts", "related stories", "related topics",
+    "share", "share this", "tags", "you may also like",
+))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 #: The classifier: added up for each block; above 0 speaks for content.
 BIAS = 0.3
@@ -62,47 +82,115 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|\S+))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Room below this is rounding.
+_NOTHING = 1e-12
 _NEUTRAL, _GOOD, _ARTICLE, _BAD_CLASS, _BAD = range(5)
 
 
-def _kind(tag: str, attributes: str, inside: int) -> int:
-    """What the text in an element is taken for, given the element it is in."""
+def _names(found: dict[str, str]) -> set[str]:
+    """Words of the class and the id that may tell what an element is."""
+    out = set()
+    for name in (found.get("class", "") + " " + found.get("id", "")).split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        for k, word in enumerate(words):
+            after = words[k + 1 :]
+            layout = BEFORE.intersection(words[:k]) or after and after[0] in AFTER
+            inexact = word in LAST_ONLY and not CONTAINERS.issuperset(after)
+            if not layout and not inexact:
+                out.add(word)
+    return out
+
+
+class _Element(NamedTuple):
+    tag: str
+    attributes: str
+    parent: int
+    depth: int
+
+
+def _look(tag: str, attributes: str) -> tuple[bool, bool, set[str]]:
+    """Whether an element is surely boilerplate, whether it is an article, words of its names."""
     found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
     role = found.get("role", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
     hidden = hidden or "display:none" in found.get("style", "").replace(" ", "").lower()
-    if inside == _BAD or hidden or tag in BOILERPLATE or role in BAD_ROLES:
-        return _BAD
-    if tag in ("html", "body"):
-        return inside
-    named = {w.lower() for w in _WORD.findall(found.get("class", "") + " " + found.get("id", ""))}
-    if named & BAD_WORDS:
-        return _BAD if named & {"comment", "comments", "ad", "ads"} else _BAD_CLASS
-    if tag in CONTENT or role == "main":
-        return _ARTICLE
-    if inside == _BAD_CLASS:
-        return inside
-    good = bool(named & GOOD_WORDS)
-    if tag == "header" or "header" in named:
-        return inside if good or inside in (_ARTICLE, _GOOD) else _BAD
-    return max(inside, _GOOD) if good else inside
-
-
-def blocks(html: str) -> list[tuple[str, float, tuple[int, ...]]]:
-    """(text, score, path of element numbers) of each block with text, in page order."""
-    out: list[tuple[str, float, tuple[int, ...]]] = []
-    stack: list[tuple[str, int, int]] = [("", 0, _NEUTRAL)]  # name, number, kind
-    made, silent, link_depth = 0, 0, 0
+    named = set() if tag in ("html", "body") else _names(found)
+    return hidden or tag in BOILERPLATE or role in BAD_ROLES, tag in CONTENT or role == "main", named
+
+
+def _kinds(elements: list[_Element]) -> list[int]:
+    """What the text in each element is taken for.
+
+    Names are evidence that the page's structure outweighs: a wrapper that holds an
+    article is no sidebar whatever it is called. An article in an article is a
+    comment or a teaser, as is one without the headline beside one with it.
+    """
+    looks: dict[tuple[str, str], tuple[bool, bool, set[str]]] = {}
+    seen = []
+    for e in elements:
+        key = (e.tag, e.attributes)
+        if key not in looks:
+            looks[key] = _look(*key)
+        seen.append(looks[key])
+    n = len(elements)
+    holds, titled = [False] * n, [False] * n  # an article, the headline
+    for k in range(n - 1, 0, -1):
+        up = elements[k].parent
+        holds[up] = holds[up] or holds[k] or seen[k][1]
+        titled[up] = titled[up] or titled[k] or elements[k].tag == "h1"
+    led = any(e.tag == "article" and titled[k] for k, e in enumerate(elements))
+    out = [_NEUTRAL] * n
+    in_article = [False] * n
+    for k in range(1, n):
+        tag, _, up, _ = elements[k]
+        inside, (sure, article, named) = out[up], seen[k]
+        in_article[k] = in_article[up] or tag == "article"
+        if tag == "form" and holds[k] and sure:
+            sure = False  # a form around the whole page
+        comment = tag == "article" and (in_article[up] or led and not titled[k])
+        if inside == _BAD or sure or comment:
+            out[k] = _BAD
+        elif named & ALIEN_WORDS and not (titled[k] and (article or holds[k])):
+            out[k] = _BAD
+        elif article:
+            out[k] = _ARTICLE
+        elif named & BAD_WORDS and not holds[k]:
+            out[k] = _BAD_CLASS
+        elif inside == _BAD_CLASS:
+            out[k] = inside
+        else:
+            good = bool(named & GOOD_WORDS)
+            if tag == "header" or "header" in named and not holds[k]:
+                out[k] = inside if good or inside in (_ARTICLE, _GOOD) else _BAD
+            else:
+                out[k] = max(inside, _GOOD) if good else inside
+    return out
+
+
+class Block(NamedTuple):
+    """A piece of text, its share of linked text, and the element it is in."""
+
+    text: str
+    linked: float
+    element: int
+
+
+def parse(html: str) -> tuple[list[Block], list[_Element]]:
+    """Blocks with text in page order, and all elements; element 0 is the page."""
+    out: list[Block] = []
+    elements = [_Element("", "", 0, 0)]
+    stack = [0]
+    open_tags: Counter[str] = Counter()
+    silent, link_depth = 0, 0
     parts: list[str] = []
     linked = 0
-    kinds: dict[tuple[str, str, int], int] = {}
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                out.append((text, _score(text, linked, stack), tuple(x[1] for x in stack)))
+                out.append(Block(text, min(linked / len(text), 1.0), stack[-1]))
             parts.clear()
         linked = 0
 
@@ -113,6 +201,11 @@ def blocks(html: str) -> list[tuple[str, float, tuple[int, ...]]]:
             if link_depth:
                 linked += len(text.strip())
 
+    def close_last() -> str:
+        tag = elements[stack.pop()].tag
+        open_tags[tag] -= 1
+        return tag
+
     at = 0
     while True:
         found = _TOKEN.search(html, at)
@@ -130,12 +223,13 @@ def blocks(html: str) -> list[tuple[str, float, tuple[int, ...]]]:
                 link_depth = 0
             if close in INLINE:
                 continue
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == close), 0)
-            if depth or close in ("p", "br"):
+            if open_tags[close] or close in ("p", "br"):
                 flush()
-            if depth:
-                silent -= sum(x[0] in SILENT for x in stack[depth:])
-                del stack[depth:]
+            if open_tags[close]:
+                tag = ""
+                while tag != close:
+                    tag = close_last()
+                    silent -= tag in SILENT
                 if link_depth > len(stack):
                     link_depth = 0
         elif name:
@@ -147,49 +241,69 @@ def blocks(html: str) -> list[tuple[str, float, tuple[int, ...]]]:
                     say(" " if name != "wbr" else "")
                 continue
             flush()
-            if stack[-1][0] == "p" or stack[-1][0] == name and name in ("li", "dt", "dd", "td", "th", "tr", "option"):
-                stack.pop()
+            last = elements[stack[-1]].tag
+            if last == "p" or last == name and name in ("li", "dt", "dd", "td", "th", "tr", "option"):
+                silent -= close_last() in SILENT
             if name in VOID or attributes.endswith("/") and name in ("svg", "path"):
                 continue
-            made += 1
-            key = (name, attributes, stack[-1][2])
-            if key not in kinds:
-                kinds[key] = _kind(*key)
             if name in RAW:
                 end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(html, at)
                 at = end.end() if end else len(html)
                 continue
             silent += name in SILENT
-            stack.append((name, made, kinds[key]))
+            elements.append(_Element(name, attributes, stack[-1], len(stack)))
+            stack.append(len(elements) - 1)
+            open_tags[name] += 1
     flush()
+    return out, elements
+
+
+def scores(blocks: list[Block], elements: list[_Element]) -> list[float]:
+    """Of each block; above 0 speaks for content."""
+    kinds = _kinds(elements)
+    out = []
+    under = -1  # the element that holds the heading of a list of links
+    for block in blocks:
+        e = elements[block.element]
+        listed = e.tag == "li" or block.linked > 0.5
+        if e.tag in HEADINGS:
+            under = e.parent if block.text.lower().rstrip(":") in LIST_TITLES else -1
+            listed = True
+        elif not listed:
+            under = -1
+        kind = kinds[block.element]
+        out.append(_score(block, e.tag, _BAD if under >= 0 and listed else kind))
     return out
 
 
-def _score(text: str, linked: int, stack: list[tuple[str, int, int]]) -> float:
-    tag, _, kind = stack[-1]
-    words = text.count(" ") + 1
-    score = BIAS + SHORT + LONG * min(words, 40) / 40 + ALL_LINK * min(linked / len(text), 1.0)
-    score += BY_TAG.get(tag, 0.0) + FULL_STOP * (text[-1] in ".!?…:;\"”»")
+def _score(block: Block, tag: str, kind: int) -> float:
+    words = block.text.count(" ") + 1
+    score = BIAS + SHORT + LONG * min(words, 40) / 40 + ALL_LINK * block.linked
+    score += BY_TAG.get(tag, 0.0) + FULL_STOP * (block.text[-1] in ".!?…:;\"”»")
     return score + {
         _BAD: IN_BOILERPLATE, _BAD_CLASS: IN_BOILERPLATE, _ARTICLE: IN_ARTICLE, _GOOD: IN_GOOD_CLASS
     }.get(kind, 0.0)
 
 
-def edges(paths: list[tuple[int, ...]]) -> list[tuple[int, int, float]]:
-    """Smoothness edges: neighbours in the page, and neighbours among one parent's blocks."""
+def edges(places: list[int], elements: list[_Element]) -> list[tuple[int, int, float]]:
+    """Smoothness edges: neighbours in the page, and neighbours among one parent's blocks.
+
+    The way between neighbours in the tree crosses only elements opened or closed
+    between them, so all ways together are no longer than the page.
+    """
     out = []
     last: dict[int, int] = {}
-    for k, path in enumerate(paths):
+    for k, place in enumerate(places):
         if k:
-            before = paths[k - 1]
-            same = 0
-            for a, b in zip(before, path):
-                if a != b:
-                    break
-                same += 1
-            apart = max(len(path) + len(before) - 2 * same, 2)
-            out.append((k - 1, k, SIDE_BY_SIDE * 0.5 ** (apart - 2)))
-        parent = path[-2] if len(path) > 1 else path[-1]
+            a, b, apart = places[k - 1], place, 0
+            while a != b:
+                apart += 1
+                if elements[a].depth >= elements[b].depth:
+                    a = elements[a].parent
+                else:
+                    b = elements[b].parent
+            out.append((k - 1, k, SIDE_BY_SIDE * 0.5 ** (max(apart, 2) - 2)))
+        parent = elements[place].parent
         if parent in last and last[parent] != k - 1:
             out.append((last[parent], k, ONE_PARENT))
         last[parent] = k
@@ -200,8 +314,7 @@ def min_cut(scores: list[float], links: list[tuple[int, int, float]]) -> list[bo
     """Content side of the minimum cut.
 
     A block whose score outweighs all its edges keeps its own label in every
-    minimum cut; it is merged into its terminal first. Augmenting paths on what
-    is left are shortest ones, found breadth first. Ties go to boilerplate.
+    minimum cut; it is merged into its terminal first. Ties go to boilerplate.
     """
     n = len(scores)
     weight = [0.0] * n
@@ -225,32 +338,83 @@ def min_cut(scores: list[float], links: list[tuple[int, int, float]]) -> list[bo
     for a, b, w in links:
         if {node[a], node[b]} != {source, sink}:
             add(node[a], node[b], w, w)
+    # One flow for each set of undecided blocks that hang together.
+    content = {source}
+    met: set[int] = {source, sink}
+    for start in list(room):
+        if start in met:
+            continue
+        met.add(start)
+        part = [start]
+        for x in part:
+            for y in room[x]:
+                if y not in met:
+                    met.add(y)
+                    part.append(y)
+        content |= _max_flow(part, room, source, sink)
+    return [x in content for x in node]
+
+
+def _max_flow(part: list[int], room: dict[int, dict[int, float]], source: int, sink: int) -> set[int]:
+    """Nodes that the source still reaches after a maximum flow through ``part``.
+
+    In each phase a search from the sink gives all distances, then paths of just
+    that length are filled, none of the edges being looked at twice in vain.
+    """
+    out = [x for x in part if source in room[x]]
     while True:
-        came = {source: source}
-        queue = deque([source])
-        while queue and sink not in came:
+        far = {sink: 0}
+        queue = deque(x for x in part if room[x].get(sink, 0.0) > _NOTHING)
+        for x in queue:
+            far[x] = 1
+        while queue:
             x = queue.popleft()
-            for y, w in room[x].items():
-                if w > 1e-12 and y not in came:
-                    came[y] = x
+            for y in room[x]:
+                if y not in far and y != source and room[y].get(x, 0.0) > _NOTHING:
+                    far[y] = far[x] + 1
                     queue.append(y)
-        if sink not in came:
-            return [x in came for x in node]
-        path, y = [], sink
-        while y != source:
-            path.append((came[y], y))
-            y = came[y]
-        flow = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= flow
-            room[b][a] += flow
+        arcs = {x: iter(room[x].items()) for x in far if x != sink}
+        moved = False
+        for first in out:
+            while first in far and room[source].get(first, 0.0) > _NOTHING:
+                path = [first]
+                while path and path[-1] != sink:
+                    x = path[-1]
+                    for y, w in arcs[x]:
+                        if w > _NOTHING and far.get(y, -1) == far[x] - 1:
+                            path.append(y)
+                            break
+                    else:
+                        path.pop()
+                        del far[x]
+                if not path:
+                    break
+                steps = list(zip([source, *path], path))
+                flow = min(room[a][b] for a, b in steps)
+                moved = True
+                for a, b in steps:
+                    room[a][b] -= flow
+                    room[b][a] += flow
+                for x in path[:-1]:  # an edge with room left is looked at again
+                    arcs[x] = iter(room[x].items())
+        if not moved:
+            break
+    reached = {x for x in out if room[source].get(x, 0.0) > _NOTHING}
+    queue = deque(reached)
+    while queue:
+        x = queue.popleft()
+        for y, w in room[x].items():
+            if w > _NOTHING and y not in reached and y not in (source, sink):
+                reached.add(y)
+                queue.append(y)
+    return reached
 
 
 def main_text(html: str | None) -> str:
     """The content blocks of a page, one a line; empty for null and for pages without any."""
-    found = blocks(html or "")
-    keep = min_cut([b[1] for b in found], edges([b[2] for b in found]))
-    return "\n".join(b[0] for b, good in zip(found, keep) if good)
+    blocks, elements = parse(html or "")
+    keep = min_cut(scores(blocks, elements), edges([b.element for b in blocks], elements))
+    return "\n".join(b.text for b, good in zip(blocks, keep) if good)
 
 
 def extract_text(

@@ -1,9 +1,10 @@
 import random
+import time
 from itertools import product
 
 import pytest
 
-from biomeframe.llm.htmltext import edges, extract_text, main_text, min_cut
+from biomeframe.llm.htmltext import _Element, edges, extract_text, main_text, min_cut
 
 PAGES = [
     ("", ""), (None, ""), ("plain words, no markup.", "plain words, no markup."),
@@ -42,13 +43,54 @@ def test_cut_is_minimal():
     for _ in range(60):
         n = rng.randint(1, 9)
         scores = [rng.uniform(-2, 2) for _ in range(n)]
-        paths = [(0, rng.randint(1, 3), k + 10) for k in range(n)]
-        links = edges(paths) + [(a, b, rng.random()) for a in range(n) for b in range(a) if rng.random() < 0.2]
+        tree = [_Element("", "", 0, 0)] + [_Element("div", "", 0, 1)] * 3
+        tree += [_Element("p", "", rng.randint(1, 3), 2) for _ in range(n)]
+        links = edges(list(range(4, n + 4)), tree) + [(a, b, rng.random()) for a in range(n) for b in range(a) if rng.random() < 0.2]
         best = min(cost(scores, links, x) for x in product([False, True], repeat=n))
         assert abs(cost(scores, links, min_cut(scores, links)) - best) < 1e-9
     assert min_cut([], []) == []
 
 
+ARTICLE = "<article><h1>Title</h1><p>This is the text of the article, which is long enough.</p>"
+TEXT = "Title\nThis is the text of the article, which is long enough."
+
+
+@pytest.mark.parametrize("html", [
+    f'<div id="page" class="layout-with-sidebar">{ARTICLE}</article></div>',
+    f'<div class="sidebar-layout"><div class="comments-open">{ARTICLE}</article></div></div>',
+    ARTICLE.replace("<article>", '<article class="post has-sidebar no-comments">') + "</article>",
+    ARTICLE.replace("article>", 'div class="form-factor">') + "</div>",
+    f"<form id=aspnetForm><div class=menu>Menu</div>{ARTICLE}</article></form>",
+    ARTICLE + '</article><div id="reactions"><article><p>I liked this one a lot, thanks.</p></article></div>',
+    ARTICLE + "<article><p>A reader says so in a whole sentence.</p></article></article>",
+    ARTICLE + "<h3>Related:</h3><ul><li><a href=x>One</a></li><li>Two</li></ul></article>",
+    ARTICLE + '</article><div class="comment-list"><article><p>I liked it, really good.</p></article></div>',
+    f'<div class="sidebar-widget"><p>Some words of a side bar.</p></div>{ARTICLE}</article>',
+])
+def test_names_are_evidence_only(html):
+    assert main_text(html) == TEXT
+
+
+def test_heading_named_like_a_list_keeps_its_prose():
+    got = main_text(ARTICLE + "<h2>Related</h2><p>What is related is told in a paragraph here.</p></article>")
+    assert got.endswith("What is related is told in a paragraph here.")
+
+
+def test_long_pages_take_time_in_proportion():
+    rng = random.Random(1)
+
+    def seconds(n):
+        scores = [rng.choice([-1, 1]) * rng.random() * 0.9 for _ in range(n)]
+        links = [(k - 1, k, 1.0) for k in range(1, n)] + [(k - 7, k, 0.5) for k in range(7, n)]
+        start = time.process_time()
+        min_cut(scores, links)
+        main_text("<div>x y" * n + "</div>" * n + "</b></p>" * n)
+        return time.process_time() - start
+
+    few, many = min(seconds(4_000) for _ in range(2)), min(seconds(16_000) for _ in range(2))
+    assert many < 9 * few + 0.5
+
+
 def test_neighbours_decide():
     assert min_cut([3.0, -0.5, 3.0], [(0, 1, 1.0), (1, 2, 1.0)]) == [True, True, True]
     assert min_cut([-3.0, 0.5, -3.0], [(0, 1, 1.0), (1, 2, 1.0)]) == [False, False, False]
