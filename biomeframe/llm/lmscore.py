@@ -45,7 +45,7 @@ ROUNDS = 2
 #: time: every token of the corpus is a target once.
 STRIDE = ROUNDS
 RATE = 0.1
-STEP = 512
+STEP = 1024
 FAN = 32
 SEED = 7
 _BLOCK = 2048
@@ -64,6 +64,7 @@ _SHAPES = {
     "bp": (PLACES,),
 }
 SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
+_CELLS = np.arange((TOKENS + 1) * WIDTH).reshape(TOKENS + 1, WIDTH)
 
 
 class Network:
@@ -97,12 +98,21 @@ class Network:
         return net.flat
 
     def _forward(self, context: np.ndarray, target: np.ndarray):
+        """Inputs, hidden layer, classes of the targets, and both softmaxes: of the class
+        in ``[:, 0]``, of the place in it in ``[:, 1]``."""
         w = self.w
-        x = w["embed"][context].reshape(len(context), -1)
-        h = np.tanh(x @ w["w1"] + w["b1"])
+        x = np.take(w["embed"], context.ravel(), axis=0).reshape(len(context), -1)
+        h = x @ w["w1"]
+        h += w["b1"]
+        np.tanh(h, out=h)
         group = target // PLACES
-        h2 = h + w["known"][group]
-        return x, h, group, h2, _log_softmax(h @ w["wc"] + w["bc"]), _log_softmax(h2 @ w["wp"] + w["bp"])
+        z = (h @ np.hstack((w["wc"], w["wp"]))).reshape(-1, 2, PLACES)
+        z[:, 0] += w["bc"]
+        z[:, 1] += np.take(w["known"] @ w["wp"] + w["bp"], group, axis=0)
+        z -= z.max(axis=2, keepdims=True)
+        np.exp(z, out=z)
+        z /= (z.reshape(-1, PLACES) @ np.ones(PLACES, dtype=np.float32)).reshape(-1, 2, 1)
+        return x, h, group, z
 
     def scorer(self):
         """A function of (context, target) giving log-probabilities.
@@ -112,67 +122,65 @@ class Network:
         """
         w = self.w
         shares = [w["embed"] @ part for part in np.split(w["w1"], 2 * SIDE)]
-        both = np.ascontiguousarray(np.hstack((w["wc"], w["wp"])))
+        # In doubles: a product in single precision rounds a row as its place in the block has it.
+        both = np.hstack((w["wc"], w["wp"])).astype(float)
         places = w["known"] @ w["wp"] + w["bp"]
-        ones = np.ones(CLASSES, dtype=np.float32), np.ones(PLACES, dtype=np.float32)
 
         def log_prob(context: np.ndarray, target: np.ndarray) -> np.ndarray:
-            h = shares[0][context[:, 0]] + w["b1"]
+            h = np.take(shares[0], context[:, 0], axis=0)
+            h += w["b1"]
             for k in range(1, 2 * SIDE):
-                h += shares[k][context[:, k]]
-            z = np.tanh(h, out=h) @ both
+                h += np.take(shares[k], context[:, k], axis=0)
+            z = (np.tanh(h, out=h) @ both).astype(np.float32)
             group = target // PLACES
             z[:, :CLASSES] += w["bc"]
-            z[:, CLASSES:] += places[group]
+            z[:, CLASSES:] += np.take(places, group, axis=0)
             z -= z.max(axis=1, keepdims=True)
             rows = np.arange(len(target))
             mine = z[rows, group] + z[rows, CLASSES + target % PLACES]
             np.exp(z, out=z)
             tiny = np.float32(1e-37)  # a softmax far below the other one
-            lost = np.log(z[:, :CLASSES] @ ones[0] + tiny) + np.log(z[:, CLASSES:] @ ones[1] + tiny)
+            lost = np.log(z[:, :CLASSES].sum(axis=1) + tiny) + np.log(z[:, CLASSES:].sum(axis=1) + tiny)
             return mine - lost
 
         return log_prob
 
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
-        w = self.w
-        x, h, group, h2, by_class, by_place = self._forward(context, target)
-        rows = np.arange(len(target))
-        dc, dp = np.exp(by_class, out=by_class), np.exp(by_place, out=by_place)
-        dc[rows, group] -= 1
-        dp[rows, target % PLACES] -= 1
-        dc /= len(target)
-        dp /= len(target)
-        dh2 = dp @ w["wp"].T
-        dh = (dc @ w["wc"].T + dh2) * (1 - h * h)
-        if self.past is None:
-            self.past = self._views(np.full(SIZE, 1e-4, dtype=np.float32))
-        which = np.zeros((CLASSES, len(target)), dtype=np.float32)
+        """One Adagrad step on the mean log-probability; weights without a gradient stay."""
+        self._step(self.gradient(context, target))
+
+    def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Of the mean negative log-probability, in the order of the flat vector."""
+        w, n = self.w, len(target)
+        x, h, group, z = self._forward(context, target)
+        rows = np.arange(n)
+        z[rows, 0, group] -= 1
+        z[rows, 1, target % PLACES] -= 1
+        z /= n
+        both = z.reshape(n, -1)
+        which = np.zeros((CLASSES, n), dtype=np.float32)
         which[group, rows] = 1
-        for name, grad in (
-            ("wc", h.T @ dc), ("bc", dc.sum(axis=0)), ("known", which @ dh2),
-            ("wp", h2.T @ dp), ("bp", dp.sum(axis=0)), ("b1", dh.sum(axis=0)),
-        ):
-            self._move(name, slice(None), grad)
-        # Of the embeddings only those of the windows move.
-        flat = context.ravel()
-        order = np.argsort(flat, kind="stable")
-        flat = flat[order]
-        starts = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
-        parts = (dh @ w["w1"].T).reshape(-1, WIDTH)[order]
-        self._move("w1", slice(None), x.T @ dh)
-        self._move("embed", flat[starts], np.add.reduceat(parts, starts, axis=0))
-
-    def _move(self, name: str, rows, grad: np.ndarray) -> None:
-        past = self.past[name][rows] + grad * grad
-        self.past[name][rows] = past
-        self.w[name][rows] -= RATE * grad / np.sqrt(past)
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+        by_class = which @ z[:, 1]  # of the places, summed for each class
+        dh = (both @ np.hstack((w["wc"], w["wp"])).T) * (1 - h * h)
+        flat = np.empty(SIZE, dtype=np.float32)
+        g = self._views(flat)
+        g["known"][:] = by_class @ w["wp"].T
+        outer, sums = h.T @ both, both.sum(axis=0)
+        g["wc"][:], g["bc"][:] = outer[:, :CLASSES], sums[:CLASSES]
+        # The hidden layer of the places has the class's share added to it.
+        g["wp"][:], g["bp"][:] = outer[:, CLASSES:] + w["known"].T @ by_class, sums[CLASSES:]
+        g["w1"][:], g["b1"][:] = x.T @ dh, dh.sum(axis=0)
+        cells = np.take(_CELLS, context.ravel(), axis=0).ravel()
+        g["embed"].ravel()[:] = np.bincount(cells, (dh @ w["w1"].T).ravel(), _CELLS.size)
+        return flat
+
+    def _step(self, grad: np.ndarray) -> None:
+        if self.past is None:
+            self.past = np.full(SIZE, 1e-4, dtype=np.float32)
+        self.past += grad * grad
+        grad /= np.sqrt(self.past)
+        grad *= RATE
+        self.flat -= grad
 
 
 def windows(docs: list[np.ndarray], every: int = 1, offset: int = 0):

@@ -11,9 +11,7 @@ def test_gradient_and_scorer():
     around, target, owner = lmscore.windows(docs)
     assert len(target) == 38 and owner.tolist() == [0] * 30 + [1] + [3] * 7
     assert around[30].tolist() == [lmscore.PAD] * 4
-    _, _, group, _, by_class, by_place = net._forward(around, target)
-    rows = np.arange(len(target))
-    plain = by_class[rows, group] + by_place[rows, target % lmscore.PLACES]
+    plain = np.array([brute_log_prob(net.w, c, t) for c, t in zip(around, target)])
     assert np.allclose(net.scorer()(around, target), plain, atol=1e-3)
     every = net.scorer()(np.repeat(around[:1], lmscore.TOKENS, axis=0), np.arange(lmscore.TOKENS))
     assert abs(np.exp(every).sum() - 1) < 1e-3
@@ -23,6 +21,42 @@ def test_gradient_and_scorer():
     assert net.scorer()(around, target).mean() > before + 1
 
 
+def brute_log_prob(w, context, target):
+    """Log-probability of one token by the definition, one sum at a time, in doubles."""
+    w = {k: v.astype(float) for k, v in w.items()}
+    x = np.concatenate([w["embed"][t] for t in context])
+    h = np.array([np.tanh(sum(a * b for a, b in zip(x, column)) + c) for column, c in zip(w["w1"].T, w["b1"])])
+    group, place = divmod(int(target), lmscore.PLACES)
+    by_class = np.exp([h @ column + c for column, c in zip(w["wc"].T, w["bc"])])
+    by_place = np.exp([(h + w["known"][group]) @ column + c for column, c in zip(w["wp"].T, w["bp"])])
+    return np.log(by_class[group] / by_class.sum()) + np.log(by_place[place] / by_place.sum())
+
+
+def test_gradient_by_differences():
+    """Of every kind of weight, against differences of the brute-force mean."""
+    rng = np.random.default_rng(5)
+    net = lmscore.Network(lmscore.Network.start(rng.integers(0, 90, lmscore.TOKENS).astype(float)))
+    docs = [rng.integers(0, lmscore.TOKENS, n) for n in (6, 1)] + [np.array([5, 5, 5, 9])]
+    around, target, _ = lmscore.windows(docs)
+    got = net.gradient(around, target)
+    views = lmscore.Network._views(got)
+    assert len(views) == 8
+
+    def loss(name, place, by):
+        w = {k: v.astype(float) for k, v in net.w.items()}
+        w[name][place] += by
+        return -np.mean([brute_log_prob(w, c, t) for c, t in zip(around, target)])
+
+    for name, grad in views.items():
+        moved = np.argwhere(np.abs(grad) > 1e-4)
+        assert len(moved), name
+        for place in [tuple(x) for x in rng.permutation(moved)[:3]]:
+            want = (loss(name, place, 1e-4) - loss(name, place, -1e-4)) / 2e-4
+            assert abs(grad[place] - want) < 1e-4 + 0.01 * abs(want), name
+    unseen = sorted(set(range(lmscore.TOKENS + 1)) - set(around.ravel().tolist()))
+    assert not views["embed"][unseen].any()
+
+
 def test_order_is_learned(spark):
     """Words in the order of training score higher than the same words shuffled."""
     rng = np.random.default_rng(1)
