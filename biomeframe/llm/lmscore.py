@@ -45,7 +45,7 @@ ROUNDS = 2
 #: time: every token of the corpus is a target once.
 STRIDE = ROUNDS
 RATE = 0.1
-STEP = 1024
+STEP = 512
 FAN = 32
 SEED = 7
 _BLOCK = 2048
