@@ -150,3 +150,22 @@ def test_translate_cds(spark):
 def test_low_complexity(spark):
     for kmer, want in [("A" * 15, True), ("ATATATATATATATC", True), ("ACGTACGTACGTACG", False)]:
         assert one(spark, kmer, fs.low_complexity("v", 15)) is want
+
+
+def test_frames_are_translated_in_batches(spark):
+    """Empty, short, odd and null sequences beside each other: no codon crosses to the next one."""
+    seqs = ["", "A", "AC", "ATG", "ATGN", None, "atgtaaRYG", "GGGCCCA", "A.TTT", "ÄATG"] * 60
+    df = spark.createDataFrame([(i, (i, s)) for i, s in enumerate(seqs)], "ord int, pair struct<n int, seq string>")
+    frames = fs.translate_frames(df.withColumn("seq", F.col("pair.seq")), keep=("ord", "pair"))
+    assert "MapInArrow" in frames._jdf.queryExecution().toString()
+    got = {(r.ord, r.strand, r.frame): r.protein for r in frames.filter("pair.n = ord").collect()}
+    assert len(got) == 6 * len(seqs)
+    for (i, strand, frame), protein in got.items():
+        text = (seqs[i] or "").upper()
+        if strand == "-":
+            text = text.translate(str.maketrans(fs.IUPAC_BASES, fs.IUPAC_COMPLEMENTS))[::-1]
+        dna = text.encode("utf-8")
+        codons = [dna[p : p + 3].decode("latin1") for p in range(frame - 1, len(dna) - 2, 3)]
+        code = {a + b + c: fs.CODON_AMINO_ACIDS[16 * x + 4 * y + z] for x, a in enumerate("TCAG")
+                for y, b in enumerate("TCAG") for z, c in enumerate("TCAG")}
+        assert protein == "".join(code.get(x, "X") for x in codons)
