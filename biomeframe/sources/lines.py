@@ -38,14 +38,14 @@ def numbered_records(spark: SparkSession, path, line_sep: str | None = None) ->
         "value",
     )
     counted = stored(
-        rows.groupBy("file", "block").agg(
-            F.min("m").alias("m0"), F.count(F.lit(1)).alias("c"),
-            F.min("path").alias("path"), F.max("path").alias("path2"),
-        ),
+        # The path is a key: as an aggregate it would make Spark sort all records of a block.
+        rows.groupBy("file", "path", "block").agg(F.min("m").alias("m0"), F.count(F.lit(1)).alias("c")),
         "blocks",
     )
     clash = F.raise_error(F.lit("two paths have the same hash")).cast("string")
-    counted = counted.withColumn("path", F.when(F.col("path") == F.col("path2"), F.col("path")).otherwise(clash))
+    file = Window.partitionBy("file")
+    one = F.min("path").over(file) == F.max("path").over(file)
+    counted = counted.withColumn("path", F.when(one, F.col("path")).otherwise(clash))
     in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = counted.select(
         "file",

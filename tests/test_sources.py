@@ -264,3 +264,15 @@ def test_gff_repeated_attributes(spark, tmp_path):
     rows = st.read_gff(spark, put(tmp_path / "y.gff", text)).collect()
     assert rows[0].attributes == {"ID": "a", "Dbxref": "p:1,q:2", "note": "x=y", "flag": None}
     assert rows[1].attributes is None
+
+
+def test_records_are_counted_without_a_sort(spark, tmp_path, monkeypatch):
+    """The count of records per block is a hash aggregate: its memory does not grow with a block."""
+    from biomeframe.sources import lines
+
+    plans, real = [], lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or real(df, name))
+    spark.range(50).selectExpr("cast(id as string) value").coalesce(1).write.text(f"{tmp_path}/x")
+    got = lines.numbered_records(spark, f"{tmp_path}/x").collect()
+    assert sorted(r.n for r in got) == list(range(50)) and all(r.value == str(r.n) for r in got)
+    assert len(plans) == 1 and "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
